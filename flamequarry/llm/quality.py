@@ -79,7 +79,8 @@ def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -
 
 def cleaned(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -> DataFrame:
     """The documents kept, their frequent lines removed; columns as given."""
-    out = judged(docs, limit, depleted).where("kept")
+    # written first: a filter on kept, pushed below the projections, would evaluate the measures inside their own lambdas
+    out = materialize(judged(docs, limit, depleted), shared_folder(docs.sparkSession), "judged").where("kept")
     text = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", F.xxhash64(normal_line(x)))), "\n")
     text = F.when(F.size("removed") > 0, text).otherwise(F.col("text"))
     fresh = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
