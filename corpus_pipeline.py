@@ -10,7 +10,6 @@ A null doc_id is no document that could be grouped; such a row is judged by all
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flamequarry.llm import decontaminate, minhash, pieces, quality, secrets
 from flamequarry.llm.common import materialize, shared_folder, table
@@ -25,10 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays."""
-    kept = minhash.near_duplicates(docs, SIMILAR).where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = materialize(kept, shared_folder(spark), "kept")
-    return docs.join(kept, "doc_id").select(docs.columns).dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """The document with the smallest doc_id of each group stays, one row of it."""
+    return minhash.one_of_each(docs, SIMILAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +45,45 @@ def lower_ascii(column):
 def word_array(column):
     """Maximal runs without white space; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(column, F.lit("")), f"{SPACE}+"), lambda w: w != "")
+
+
+#: Bits of a Bloom filter for each value.
+BLOOM_BITS = 16
+
+
+def bloom_place(value, blocks: int) -> dict:
+    """The 256-bit block of a value, and the masks (four longs) of its eight bits there."""
+    h = F.xxhash64(F.lit("bits"), value)
+    at = [F.shiftrightunsigned(h, 8 * i).bitwiseAND(F.lit(255)).cast("int") for i in range(8)]
+    one = lambda p, w: F.when(F.shiftright(p, 6) == w, F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)))).otherwise(F.lit(0).cast("long"))
+    return {"block": F.pmod(F.xxhash64(value), F.lit(blocks))} | {f"m{w}": reduce(lambda a, b: a.bitwiseOR(b), [one(p, w) for p in at]) for w in range(4)}
+
+
+def bloom_filter(values: DataFrame, column: str, count: int, bits: int = BLOOM_BITS, most_blocks: int | None = None) -> tuple[DataFrame, int]:
+    """The filter of a column as a table of blocks (block, f0..f3), and their number."""
+    blocks = max(1, -(-count * bits // 256))
+    blocks = min(blocks, most_blocks) if most_blocks else blocks
+    placed = values.select([c.alias(k) for k, c in bloom_place(F.col(column), blocks).items()])
+    return placed.groupBy("block").agg(*[F.bit_or(f"m{w}").alias(f"f{w}") for w in range(4)]), blocks
+
+
+def bloom_fits():
+    """Whether the masks m0..m3 lie in the block f0..f3."""
+    return reduce(lambda a, b: a & b, [F.col(f"m{w}").bitwiseAND(F.col(f"f{w}")) == F.col(f"m{w}") for w in range(4)])
+
+
+def bloom_split(df: DataFrame, key: str, values: DataFrame, folder: str, name: str, most_blocks: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+    """The rows of df whose key may be in values (a column of the same name, distinct), and those whose key is not: no shuffle of df.
+
+    The filter is broadcast; most_blocks bounds it (10 MB). Beyond that it lets more rows pass, and a join decides anyway.
+    """
+    bloom, blocks = bloom_filter(values, key, values.count(), most_blocks=most_blocks)
+    bloom = materialize(bloom, folder, name)
+    own = df.columns
+    mark = f"_{name}"
+    marked = df.withColumns({f"{mark}_{k}": c for k, c in bloom_place(F.col(key), blocks).items()})
+    bloom = F.broadcast(bloom.toDF(*[f"{mark}_b{i}" for i in range(5)]))
+    marked = marked.join(bloom, F.col(f"{mark}_block") == F.col(f"{mark}_b0"), "left")
+    fits = reduce(lambda a, b: a & b, [F.col(f"{mark}_m{w}").bitwiseAND(F.col(f"{mark}_b{w + 1}")) == F.col(f"{mark}_m{w}") for w in range(4)])
+    fits = F.coalesce(fits, F.lit(False)) & F.col(key).isNotNull()
+    return marked.where(fits).select(own), marked.where(~fits).select(own)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, shared_folder
+from .common import bloom_split, discard, materialize, shared_folder
 
 SHINGLE = 5
 BANDS, ROWS = 20, 4
@@ -220,7 +220,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows
     crowd = met.where(F.col("members") > small)
     # the texts of the documents in question, once
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(crowd.select("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").join(wanted, "doc_id")
+    wanted = materialize(wanted, folder, "wanted")
+    texts = bloom_split(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", wanted, folder, "wanted_filter")[0].join(wanted, "doc_id")
     texts = materialize(texts.groupBy("doc_id").agg(F.min("text").alias("text")), folder, "texts")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").sortWithinPartitions("a")
     links = confirm(both, percent, shingle)
@@ -255,3 +256,18 @@ def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The documents without near-duplicates of a smaller doc_id, one row of each doc_id; columns as given.
+
+    Only rows whose doc_id may be a removed or a repeated one are shuffled. Rows without doc_id stay.
+    """
+    folder = shared_folder(docs.sparkSession)
+    removed = near_duplicates(docs, percent).where("not kept").select("doc_id", F.lit(True).alias("gone")).distinct()
+    repeated = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id", F.lit(False).alias("gone"))
+    special = materialize(removed.union(repeated).groupBy("doc_id").agg(F.max("gone").alias("gone")), folder, "special")
+    maybe, clear = bloom_split(docs, "doc_id", special.select("doc_id"), folder, "special_filter")
+    kind = docs.schema["doc_id"].dataType
+    maybe = maybe.join(special.select(F.col("doc_id").cast(kind).alias("_id"), "gone"), F.col("doc_id") == F.col("_id"), "left").where("gone is null or not gone").select(docs.columns)
+    return maybe.dropDuplicates(["doc_id"]).unionByName(clear)

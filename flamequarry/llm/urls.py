@@ -14,13 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, materialize, shared_folder, table
+from .common import BLOOM_BITS, bloom_filter, bloom_fits, bloom_place, lower_ascii, materialize, shared_folder, table
 
 #: The query's rules (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Query parameters that do not name another page.
 TRACKING = "utm_[a-z]+|ref|gclid|fbclid"
-BITS, BROADCAST_BLOCKS = 16, 1 << 20
+BROADCAST_BLOCKS = 1 << 20
 
 
 def parts(url) -> dict:
@@ -44,28 +44,14 @@ def ruled(df: DataFrame, rules=RULES) -> DataFrame:
     return df.withColumns({"rule": pick(1), "rule_verdict": pick(0)})
 
 
-def bloom_place(url, blocks: int) -> dict:
-    """The block of a URL and the four masks of its eight bits."""
-    h = F.xxhash64(F.lit("bits"), url)
-    at = [F.shiftrightunsigned(h, 8 * i).bitwiseAND(F.lit(255)).cast("int") for i in range(8)]
-    one = lambda p, w: F.when(F.shiftright(p, 6) == w, F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)))).otherwise(F.lit(0).cast("long"))
-    return {"block": F.pmod(F.xxhash64(url), F.lit(blocks))} | {f"m{w}": reduce(lambda a, b: a.bitwiseOR(b), [one(p, w) for p in at]) for w in range(4)}
-
-
-def bloom_filter(listed: DataFrame, count: int, bits: int = BITS) -> tuple[DataFrame, int]:
-    blocks = max(1, -(-count * bits // 256))
-    placed = listed.select([c.alias(k) for k, c in bloom_place(F.col("canonical"), blocks).items()])
-    return placed.groupBy("block").agg(*[F.bit_or(f"m{w}").alias(f"f{w}") for w in range(4)]), blocks
-
-
-def judge(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BITS, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
+def judge(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BLOOM_BITS, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """pages (with url) plus host, path, canonical, rule, possible (passed the Bloom filter), listed, verdict.
 
     listed: canonical; null and repeated entries are ignored.
     """
     folder = shared_folder(pages.sparkSession)
     listed = materialize(listed.select("canonical").where("canonical is not null").distinct(), folder, "listed")
-    bloom, blocks = bloom_filter(listed, listed.count(), bits)
+    bloom, blocks = bloom_filter(listed, "canonical", listed.count(), bits)
     bloom = materialize(bloom, folder, "bloom")
     if blocks <= broadcast_blocks:
         bloom = F.broadcast(bloom)
@@ -73,8 +59,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BITS, br
     df = pages.withColumns(parts(F.col("url")))
     df = ruled(df.withColumn("canonical", canonical(F.col("host"), F.col("path"), F.col("query"))).drop("query"), rules)
     df = df.withColumns(bloom_place(F.coalesce("canonical", F.lit("")), blocks)).join(bloom, "block", "left")
-    fits = reduce(lambda a, b: a & b, [F.col(f"m{w}").bitwiseAND(F.col(f"f{w}")) == F.col(f"m{w}") for w in range(4)])
-    df = df.withColumn("possible", F.coalesce(fits & F.col("canonical").isNotNull(), F.lit(False)))
+    df = df.withColumn("possible", F.coalesce(bloom_fits() & F.col("canonical").isNotNull(), F.lit(False)))
     kept = [*own, "host", "path", "canonical", "rule", "rule_verdict", "possible"]
     hits = df.where("possible").select(kept).join(listed.withColumn("listed", F.lit(True)), "canonical", "left")
     df = df.where("not possible").select(*kept, F.lit(False).alias("listed")).unionByName(hits.select(*kept, F.coalesce("listed", F.lit(False)).alias("listed")))
