@@ -1,8 +1,8 @@
 """Licence scan: a sparse word n-gram logistic regression over paragraphs, an unknown class, and templates. Native.
 
 Paragraphs are lines. Their words ([a-z0-9]+ of the A-Z lower-cased line) and word pairs are looked up among the model's
-features by a broadcast join (the features come from fixed samples, a few thousand whatever the corpus); a paragraph's
-set of features decides. The model is a softmax regression over licence families and "none", trained by proximal
+features by a broadcast join (the features come from fixed samples, some hundreds whatever the corpus), and their weights
+add up by paragraph. The model is a softmax regression over licence families and "none", trained by proximal
 gradient steps (weights below the L1 threshold become zero). The unknown class is calibrated: on samples held out of
 training, ``threshold`` is the smallest probability at which no sample of "none" passes for a family. A prediction is confirmed
 if at least ``confirm`` of the paragraph's word pairs stand in the predicted family's templates.
@@ -13,7 +13,7 @@ Nulls, blank texts: no paragraphs. Repeated rows each get a result. Extra column
 from __future__ import annotations
 
 import math
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,30 +112,42 @@ def vocabulary(m: dict) -> list[str]:
     return sorted({f for w in m["weights"].values() for f in w} | {f for t in m["templates"].values() for f in t})
 
 
-def feature_table(spark: SparkSession, terms: list[str]) -> DataFrame:
-    """term, id. The terms are constants of the plan."""
-    return spark.range(1).select(F.posexplode(F.split(F.lit("|".join(terms)), r"\|")).alias("id", "term"))
+def feature_table(spark: SparkSession, m: dict) -> DataFrame:
+    """term, w0.. (weight for each class), t0.. (1 for a word pair of the class' templates). The rows are constants of the plan."""
+    rows = []
+    for t in vocabulary(m):
+        numbers = [m["weights"][k].get(t, 0.0) for k in m["classes"]] + [float(t in m["templates"].get(k, ())) for k in m["classes"]]
+        rows.append(",".join([t, *(f"{x:.6g}" for x in numbers)]))
+    n = len(m["classes"])
+    cells = spark.range(1).select(F.explode(F.split(F.lit("|".join(rows)), r"\|")).alias("row")).select(F.split("row", ",").alias("c"))
+    return cells.select(F.get("c", 0).alias("term"), *[F.get("c", i + 1).cast("double").alias(f"w{i}") for i in range(n)], *[F.get("c", n + i + 1).cast("double").alias(f"t{i}") for i in range(n)])
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """A row for each licence paragraph: row, paragraph (line number from 0), family, probability, support, confirmed."""
+    """A row for each licence paragraph: row, paragraph (line number from 0), family, probability, support, confirmed.
+
+    Sums are kept by physical row (mid), so repeated rows do not add up.
+    """
     m = model()
-    terms = vocabulary(m)
     classes = m["classes"]
-    lines = docs.select("_row", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("paragraph", "line"))
-    lines = lines.select("_row", "paragraph", F.filter(F.split(lower_ascii(F.col("line")), SEPARATORS), lambda w: w != "").alias("w")).where(F.size("w") > 0)
-    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w")), lambda a, b: F.concat_ws(" ", a, b))
-    lines = lines.select("_row", "paragraph", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>")).alias("p"), "w")
-    lines = lines.select("_row", "paragraph", F.size(F.array_distinct("p")).alias("pairs"), F.explode(F.concat("w", "p")).alias("term"))
-    found = lines.join(F.broadcast(feature_table(docs.sparkSession, terms)), "term").groupBy("_row", "paragraph", "pairs").agg(F.collect_set("id").alias("ids"))
-    numbers = lambda xs: F.split(F.lit(",".join(f"{x:.6g}" for x in xs)), ",").cast("array<double>")
-    total = lambda values, first=0.0: F.aggregate("ids", F.lit(float(first)), lambda a, i: a + F.get(values, i))
-    scores = F.array(*[F.struct(total(numbers([m["weights"][k].get(t, 0.0) for t in terms]), m["bias"][k]).alias("s"), F.lit(n).alias("k")) for n, k in enumerate(classes)])
-    found = found.withColumn("scores", scores).withColumn("best", F.array_max("scores"))
-    found = found.withColumn("probability", 1 / F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x["s"] - F.col("best.s"))))
-    inside = F.array(*[total(numbers([1.0 * (t in m["templates"].get(k, ())) for t in terms])) for k in classes])
-    names = F.split(F.lit(",".join(classes)), ",")
-    found = found.withColumn("family", F.get(names, F.col("best.k"))).where((F.col("family") != NONE) & (F.col("pairs") > 0)).withColumn("support", F.get(inside, F.col("best.k")) / F.col("pairs"))
+    n = len(classes)
+    lines = docs.select("_row", F.monotonically_increasing_id().alias("mid"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("paragraph", "line"))
+    lines = lines.select("_row", "mid", "paragraph", F.split(F.trim(F.regexp_replace(lower_ascii(F.col("line")), SEPARATORS, " ")), " ").alias("w")).where("w[0] <> ''")
+    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w")), lambda a, b: F.concat(a, F.lit(" "), b))
+    lines = lines.select("_row", "mid", "paragraph", "w", F.array_distinct(pairs).alias("p")).where(F.size("p") > 0)
+    lines = lines.select("_row", "mid", "paragraph", F.size("p").alias("pairs"), F.explode(F.concat(F.array_distinct("w"), "p")).alias("term"))
+    keys = ["_row", "mid", "paragraph", "pairs"]
+    sums = [F.sum(f"{c}{i}").alias(f"{c}{i}") for c in "wt" for i in range(n)]
+    folder = shared_folder(docs.sparkSession)
+    features = F.broadcast(materialize(feature_table(docs.sparkSession, m), folder, "features"))  # as many rows as the samples have terms
+    # paragraphs without any word pair of a template can't be confirmed
+    found = lines.join(features, "term").groupBy(keys).agg(*sums).where(" + ".join(f"t{i}" for i in range(n)) + " > 0")
+    found = materialize(found, folder, "sums")
+    found = found.select("_row", "paragraph", "pairs", *[(F.col(f"w{i}") + m["bias"][k]).alias(f"s{i}") for i, k in enumerate(classes)], *[f"t{i}" for i in range(n)])
+    best = F.greatest(*[f"s{i}" for i in range(n)])
+    pick = lambda f: F.coalesce(*[F.when(F.col(f"s{i}") == best, f(i)) for i in range(n)])
+    total = sum((F.exp(F.col(f"s{i}") - best) for i in range(n)), F.lit(0.0))
+    found = found.select("_row", "paragraph", pick(lambda i: F.lit(classes[i])).alias("family"), (1 / total).alias("probability"), (pick(lambda i: F.col(f"t{i}")) / F.col("pairs")).alias("support")).where(F.col("family") != NONE)
     sure = (F.col("probability") >= m["threshold"]) & (F.col("support") >= CONFIRM)
     return found.select("_row", "paragraph", "family", "probability", "support", sure.alias("confirmed"))
 
