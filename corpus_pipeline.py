@@ -44,7 +44,7 @@ def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 STAGES = [("quality rules", quality_rules), ("minhash near-dedup", near_dedup), ("decontamination", decontamination), ("secret scan", secret_scan), ("sentencepiece", sentence_pieces)]
-#: SQL cannot encode pieces or run the Markov models; tests/llm/test_pipeline.py has the brute-force version.
+#: SQL cannot encode pieces or run the Markov models; tests/llm/test_pipeline.py works a small fixture out by hand.
 ORACLE_SQL = None
 
 
