@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, materialize, shared_folder, table, word_array
 
 END = "\n"  # no word holds it
-OUTPUTS, WIDTH, NOISE, BATCH, RATE = 2048, 24, 32, 8192, 0.1
+OUTPUTS, WIDTH, NOISE, BATCH, RATE = 2048, 24, 32, 1024, 0.2
 FREQUENT, FAN = 65_536, 16
 
 
