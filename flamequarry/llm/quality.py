@@ -7,6 +7,7 @@ its words is rejected. Counting is two aggregations that combine before the shuf
 documents' lines in a shuffle join, so nothing is broadcast and a hot host or line is split by AQE.
 
 Nulls, blank texts: no words, base_failed. A null host is a host of its own. Repeated rows each get their own result.
+``judged`` replaces columns of docs that are named like its own; ``cleaned`` returns all columns of docs as they were.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 LINE_LIMIT, DEPLETED = 20, 20
 MIN_WORDS, MAX_REPEAT = 50, 50
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    text = F.coalesce("text", F.lit(""))
+    own = [c for c in docs.columns if c not in MEASURES]
+    docs, text = docs.select(own), F.coalesce("text", F.lit(""))
     length = lambda c: F.length(c).cast("long")
     df = docs.withColumn("_words", word_array(F.col("text"))).withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     df = df.withColumn("n_words", F.size("_words").cast("long"))
@@ -41,7 +44,9 @@ def base_measures(docs: DataFrame) -> DataFrame:
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    return df.withColumn("base_failed", failed).drop("_words", "_lines", "_tri", "_twice")
+    df = df.withColumn("base_failed", failed)
+    # a generator: a filter on a measure stays above it, so the measures are not worked out inside their own lambdas
+    return df.select(*own, F.inline(F.array(F.struct(*MEASURES))))
 
 
 def normal_line(line):
@@ -71,7 +76,7 @@ def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -
     gone = gone.groupBy("_row", "line").agg((F.sum("words") / F.count("*")).alias("each"), F.count("*").alias("rows"))
     repeats = docs.groupBy("_row").agg(F.count("*").alias("copies"))
     gone = gone.groupBy("_row").agg(F.sum(F.col("each") * F.col("rows")).alias("all_words"), F.collect_list("line").alias("removed")).join(repeats, "_row").select("_row", (F.col("all_words") / F.col("copies")).cast("long").alias("n_removed_words"), "removed")
-    out = base_measures(docs).join(gone, "_row", "left").drop("_row")
+    out = base_measures(docs.drop("n_removed_words", "removed", "kept")).join(gone, "_row", "left").drop("_row")
     out = out.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long"))).withColumn("removed", F.coalesce("removed", F.array().cast("array<bigint>")))
     enough = 100 * (F.col("n_words") - F.col("n_removed_words")) >= depleted * F.col("n_words")
     return out.withColumn("kept", ~F.col("base_failed") & enough)
@@ -79,12 +84,15 @@ def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -
 
 def cleaned(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -> DataFrame:
     """The documents kept, their frequent lines removed; columns as given."""
-    # written first: a filter on kept, pushed below the projections, would evaluate the measures inside their own lambdas
-    out = materialize(judged(docs, limit, depleted), shared_folder(docs.sparkSession), "judged").where("kept")
+    folder, others = shared_folder(docs.sparkSession), [c for c in docs.columns if c not in ("doc_id", "text", "source")]
+    packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("_given"))
+    out = materialize(judged(packed, limit, depleted), folder, "judged").where("kept")
     text = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", F.xxhash64(normal_line(x)))), "\n")
-    text = F.when(F.size("removed") > 0, text).otherwise(F.col("text"))
-    fresh = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return out.withColumns(fresh).select(docs.columns)
+    out = out.withColumn("text", F.when(F.size("removed") > 0, text).otherwise(F.col("text")))
+    given = {c: F.col("_given").getField(c) for c in others}
+    if "n_chars" in given:
+        given["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select([given.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -168,8 +168,15 @@ def test_decontamination_edges(spark, odd):
 
 # --- quality, chat, URLs
 def test_quality_edges(spark, odd):
-    got = quality.judged(odd.drop("n_words"))
-    assert got.count() == len(ODD) and got.where("kept").count() == 0 and quality.cleaned(odd.drop("n_words").limit(0)).count() == 0
+    got = quality.judged(odd)
+    assert got.count() == len(ODD) and got.where("kept").count() == 0 and quality.cleaned(odd.limit(0)).count() == 0
+    assert {r.doc_id: (r.n_words, r.base_failed) for r in got.where("doc_id = 5").collect()} == {5: (40000, True)}
+
+
+def test_cleaned_keeps_clashing_columns(spark):
+    text = " ".join(f"w{j}" for j in range(60))
+    rows = spark.createDataFrame([(1, text, None, 7, "k", 3), (1, text, None, 7, "k", 3), (2, None, "s", None, None, 0)], "doc_id long, text string, source string, n_words int, kept string, n_chars int")
+    assert [tuple(r) for r in quality.cleaned(rows).collect()] == [(1, text, None, 7, "k", len(text))] * 2
 
 
 def test_frequent_lines_go(spark):
