@@ -9,6 +9,7 @@ all known tokens and of one unknown token sum to one.
   rarer ones are looked up by a shuffle join, where no key is hot.
 * Training: each task runs over all its documents once from the same start, in two rounds (half of the documents each);
   after a round the tasks' parameters are averaged, weighted by tokens, in groups of at most ``FAN`` a task.
+* Smoothing: half a count is added to each token, known or not, as prior odds in the biases; NCE learns the counts' own.
 * Scoring: batched matrix products. The normaliser depends on the two context tokens alone, so it is summed over all
   outputs once for each context met.
 
@@ -71,6 +72,8 @@ class Vocabulary:
         self.other = self.total - self.counts[:known].sum() + 0.5 * (self.distinct - known + 1)
         unigram = np.concatenate([[max(0.5, self.total - self.counts[:known].sum())], self.counts[:known]])
         self.unigram = unigram / unigram.sum()
+        smooth = np.concatenate([[self.other], self.counts[:known] + 0.5])
+        self.smooth = (np.log(smooth / smooth.sum()) - np.log(self.unigram)).astype(np.float32)
         end = self.number.get(b"\n", -1)
         self.end = int(self.output[end])
 
@@ -92,6 +95,11 @@ def start(vocabulary: Vocabulary, width: int = WIDTH, seed: int = 1) -> np.ndarr
     return np.concatenate([rng.normal(0, 0.1, 3 * k * width), np.log(vocabulary.unigram)]).astype(np.float32)
 
 
+def smoothed(params: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The parameters with half a count added to each token in the biases: without any interaction, the model is the base."""
+    return np.concatenate([params[: -vocabulary.outputs], params[-vocabulary.outputs :] + vocabulary.smooth])
+
+
 def views(p: np.ndarray, width: int = WIDTH):
     k = len(p) // (3 * width + 1)
     n = k * width
@@ -245,7 +253,7 @@ def language_model_scores(docs: DataFrame, outputs: int = OUTPUTS, frequent: int
     for k in (0, 1):
         half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == k
         params = train_round(train.where(half), v, params, folder, f"round{k}")
-    rows = materialize(scored(docs, v, params), folder, "scored")
+    rows = materialize(scored(docs, v, smoothed(params, v)), folder, "scored")
     rare = rows.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n")
     tail = counts.where(F.col("c") < v.cut)
     rare = rare.join(tail, "word", "left").groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_base"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"))
