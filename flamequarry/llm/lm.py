@@ -1,12 +1,15 @@
 """Log-bilinear language model, trained in numpy with noise-contrastive estimation over all training documents.
 
-The model: score(w | c1, c2) = (Q1[c1] + Q2[c2]) . R[w] + b[w] over the ``outputs`` - 1 most frequent tokens and one
-class for all others; a token of that class then has its smoothed frequency within the class, so the probabilities of
-all known tokens and of one unknown token sum to one.
+The model: score(w | c1, c2) = (Q1[c1] + Q2[c2]) . R[w] + b[w] over the ``outputs`` - 1 most frequent tokens (the head),
+an unknown token, and ``outputs`` / ``HEAD_CLASS`` classes by hash for all others (the tail). The tail has no limit: a class is
+split by hash into groups of about ``GROUP`` tokens, as many as the corpus needs. A group has its smoothed frequency within
+its class, and each of its tokens a vector and a bias of its own, normalised over the group. So the probabilities of all
+known tokens and of one unknown token sum to one. As context, a token of the tail is its class.
 
 * Counts: every training token, one aggregation that combines before the shuffle. Tokens of at least the count that
-  leaves ``frequent`` tokens or fewer go to the executors (a bound in tokens, found from the histogram of counts); all
-  rarer ones are looked up by a shuffle join, where no key is hot.
+  leaves ``frequent`` tokens or fewer go to the executors (a bound in tokens, found from the histogram of counts).
+* Tail: each occurrence goes to its group in one shuffle; the group's task counts, trains (one pass over the training
+  documents' occurrences, softmax over the group) and scores. A group holds no token of the head, which bounds it.
 * Training: each task runs over all its documents once from the same start, in two rounds (half of the documents each);
   after a round the tasks' parameters are averaged, weighted by tokens, in groups of at most ``FAN`` a task.
 * Smoothing: half a count is added to each token, known or not, as prior odds in the biases; NCE learns the counts' own.
@@ -20,11 +23,12 @@ count and each get a result. Without training documents every token is unknown.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from itertools import repeat
+import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +37,7 @@ from .common import lower_ascii, materialize, shared_folder, table, word_array
 END = "\n"  # no word holds it
 OUTPUTS, WIDTH, NOISE, BATCH, RATE = 2048, 24, 32, 1024, 0.2
 FREQUENT, FAN = 65_536, 16
+HEAD_CLASS, GROUP, TAIL_BATCH, TAIL_RATE, PLACES = 64, 256, 256, 4.0, 1 << 20
 
 
 def held_out(doc_id):
@@ -49,7 +54,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Frequent tokens: number, count, output; and the corpus' totals."""
+    """Frequent tokens: number, count, output; the classes of the tail; and the corpus' totals. Outputs: classes, the unknown token, the head."""
 
     def __init__(self, counts: DataFrame, outputs: int = OUTPUTS, frequent: int = FREQUENT):
         histogram = counts.groupBy("c").agg(F.count("*").alias("words")).orderBy(F.desc("c"))
@@ -66,16 +71,35 @@ class Vocabulary:
         self.number = {w: i for i, (_, w) in enumerate(rows)}
         self.counts = np.array([c for c, _ in rows], np.float64)
         known = min(outputs - 1, len(rows))
-        self.outputs = known + 1
-        self.output = np.zeros(len(rows) + 1, np.int64)  # the last: not frequent
-        self.output[:known] = np.arange(1, known + 1)
-        self.other = self.total - self.counts[:known].sum() + 0.5 * (self.distinct - known + 1)
-        unigram = np.concatenate([[max(0.5, self.total - self.counts[:known].sum())], self.counts[:known]])
+        self.classes = max(1, outputs // HEAD_CLASS)
+        self.unknown, self.first = self.classes, self.classes + 1
+        self.outputs = self.first + known
+        self.output = np.array([self.first + i if i < known else zlib.crc32(w) % self.classes for i, (_, w) in enumerate(rows)] + [-1], np.int64)  # the last: not frequent
+        tail, words = np.zeros(self.classes), np.zeros(self.classes)
+        for k, c, n in counts.groupBy((F.crc32(F.col("word").cast("binary")) % self.classes).cast("int").alias("k")).agg(F.sum("c"), F.count("*")).collect():
+            tail[k], words[k] = c, n
+        for c, w in rows[:known]:
+            tail[zlib.crc32(w) % self.classes] -= c
+            words[zlib.crc32(w) % self.classes] -= 1
+        self.groups = max(1, -(-int(words.sum()) // (self.classes * GROUP)))  # of each class
+        self.mass = tail + 0.5 * words
+        unigram = np.concatenate([np.maximum(tail, 0.5), [0.5], self.counts[:known]])
         self.unigram = unigram / unigram.sum()
-        smooth = np.concatenate([[self.other], self.counts[:known] + 0.5])
-        self.smooth = (np.log(smooth / smooth.sum()) - np.log(self.unigram)).astype(np.float32)
-        end = self.number.get(b"\n", -1)
-        self.end = int(self.output[end])
+        smooth = np.concatenate([np.maximum(self.mass, 1e-6), [0.5], self.counts[:known] + 0.5])
+        self.log_smooth = np.log(smooth / smooth.sum())
+        self.smooth = (self.log_smooth - np.log(self.unigram)).astype(np.float32)
+        self.end = int(self.outputs_of([b"\n"])[0])
+
+    def part_of(self, word: bytes) -> int:
+        """The group of a token of the tail: those of a class are neighbours."""
+        h = zlib.crc32(word)
+        return h % self.classes * self.groups + h // self.classes % self.groups
+
+    def outputs_of(self, words: list[bytes]) -> np.ndarray:
+        out = self.output[self.numbers(words)]
+        for i in np.flatnonzero(out < 0).tolist():
+            out[i] = zlib.crc32(words[i]) % self.classes
+        return out
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
@@ -96,8 +120,12 @@ def start(vocabulary: Vocabulary, width: int = WIDTH, seed: int = 1) -> np.ndarr
 
 
 def smoothed(params: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """The parameters with half a count added to each token in the biases: without any interaction, the model is the base."""
-    return np.concatenate([params[: -vocabulary.outputs], params[-vocabulary.outputs :] + vocabulary.smooth])
+    """The parameters with half a count added to each token in the biases: without any interaction, the model is the base. The unknown token has no vector."""
+    params = params.copy()
+    _, _, r, b = views(params)
+    b += vocabulary.smooth
+    r[vocabulary.unknown], b[vocabulary.unknown] = 0, vocabulary.log_smooth[vocabulary.unknown]
+    return params
 
 
 def views(p: np.ndarray, width: int = WIDTH):
@@ -149,7 +177,7 @@ def train_round(docs: DataFrame, vocabulary: Vocabulary, params: np.ndarray, fol
         trainer, held, size = Trainer(p, v.unigram, part), [], 0
         for batch in batches:
             for text in batch.column(0):
-                ids = v.output[v.numbers(tokens_of(text.as_py()))]
+                ids = v.outputs_of(tokens_of(text.as_py()))
                 held.append(ids)
                 size += len(ids)
                 if size >= 1 << 18:
@@ -205,44 +233,139 @@ class Scorer:
         return out - self.log_z[key]
 
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_frequent long, base double, model double, rare array<struct<word:string,n:int>>, n_rare long"
+#: Two kinds of row: of a document (part is null), and of a token of the tail: its places, packed.
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, model double, part int, word binary, home int, docs binary, contexts binary"
+SCORED_TYPE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_head", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("part", pa.int32()), ("word", pa.binary()), ("home", pa.int32()), ("docs", pa.binary()), ("contexts", pa.binary())])
+
+
+class Places:
+    """The places of tokens of the tail in a task's documents, packed by token once there are PLACES of them."""
+
+    def __init__(self, vocabulary: Vocabulary, home: int):
+        self.v, self.home = vocabulary, home
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.words, self.docs, self.contexts, self.size = {}, [], [], [], 0
+
+    def add(self, words: list[bytes], docs: np.ndarray, contexts: np.ndarray) -> None:
+        """docs: twice the document's number in the task, and one if it is held out; contexts: c1 * outputs + c2."""
+        number = self.number
+        self.words.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+        self.docs.append(docs.astype("<u4"))
+        self.contexts.append(contexts.astype("<u4"))
+        self.size += len(words)
+
+    def packed(self):
+        w, docs, contexts, words = np.concatenate(self.words), np.concatenate(self.docs), np.concatenate(self.contexts), list(self.number)
+        order = np.argsort(w, kind="stable")
+        offsets = pa.array((np.concatenate([[0], np.cumsum(np.bincount(w, minlength=len(words)))]) * 4).astype(np.int32))
+        pack = lambda x: pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, offsets.buffers()[1], pa.py_buffer(x[order].tobytes())])
+        columns = {"part": pa.array([self.v.part_of(x) for x in words], pa.int32()), "word": pa.array(words, pa.binary()), "home": pa.array(np.full(len(words), self.home, np.int32)), "docs": pack(docs), "contexts": pack(contexts)}
+        self.clear()
+        whole = pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in SCORED_TYPE], schema=SCORED_TYPE)
+        for at in range(0, len(words), 10_000):
+            yield whole.slice(at, 10_000)
 
 
 def scored(docs: DataFrame, vocabulary: Vocabulary, params: np.ndarray) -> DataFrame:
-    """For each row of docs: sums over its frequent tokens, and its rare tokens."""
+    """For each row of docs: sums over its tokens (those of the tail count as their class); and the places of the tokens of the tail."""
     sent = docs.sparkSession.sparkContext.broadcast((vocabulary, params))
-    rare_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
 
     def run(batches):
         from pyspark import TaskContext
 
         v, p = sent.value
-        scorer = Scorer(p)
-        log_c = np.append(np.log10(v.counts + 0.5), 0.0)
-        row = TaskContext.get().partitionId() << 40
+        scorer, home, n = Scorer(p), TaskContext.get().partitionId(), 0
+        places = Places(v, home)
+        log_c = np.concatenate([np.zeros(v.first), np.log10(v.counts[: v.outputs - v.first] + 0.5)])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                outs, cols = [], [[] for _ in range(6)]
-                for text in part.column(2):
-                    words = tokens_of(text.as_py())
-                    n = v.numbers(words)
-                    out = v.output[n]
-                    rare = Counter(words[i] for i in np.flatnonzero(n < 0).tolist())
-                    outs.append(out)
-                    other = log_c[n[(out == 0) & (n >= 0)]].sum()
-                    for c, x in zip(cols, (len(words), int((n >= 0).sum()), log_c[n].sum(), other, [{"word": w.decode(), "n": k} for w, k in rare.items()], int((out == 0).sum()))):
-                        c.append(x)
-                s = scorer.score(*contexts(outs, v.end)) / math.log(10)
-                ends = np.cumsum([len(o) for o in outs])
-                model = np.add.reduceat(s, np.concatenate([[0], ends[:-1]])) + np.array(cols[3]) - np.array(cols[5]) * math.log10(v.other)
-                rows = pa.array(range(row, row + part.num_rows), pa.int64())
-                row += part.num_rows
-                yield pa.RecordBatch.from_arrays([rows, part.column(0), part.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(model, pa.float64()), pa.array(cols[4], rare_type), pa.array([sum(x["n"] for x in r) for r in cols[4]], pa.int64())], names=["row", "doc_id", "held_out", "n_tokens", "n_frequent", "base", "model", "rare", "n_rare"])
+                words = [tokens_of(text.as_py()) for text in part.column(2)]
+                outs = [v.outputs_of(w) for w in words]
+                c1, c2, w = contexts(outs, v.end)
+                s = scorer.score(c1, c2, w)
+                sizes = np.array([len(o) for o in outs])
+                starts = np.cumsum(sizes) - sizes
+                tail = w < v.first
+                i = np.flatnonzero(tail)
+                flat = list(chain.from_iterable(words))
+                held = np.array(part.column(1).to_pylist(), bool)
+                places.add([flat[k] for k in i.tolist()], np.repeat(2 * (n + np.arange(len(words))) + held, sizes)[i], c1[i] * v.outputs + c2[i])
+                total = lambda x: pa.array(np.add.reduceat(x, starts))
+                columns = {"row": pa.array((home << 40) + n + np.arange(len(words))), "doc_id": part.column(0), "held_out": part.column(1), "n_tokens": pa.array(sizes.astype(np.int64)), "n_head": total((~tail).astype(np.int64)), "base": total(log_c[w]), "model": total(s / math.log(10))}
+                n += len(words)
+                yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in SCORED_TYPE], schema=SCORED_TYPE)
+                if places.size >= PLACES:
+                    yield from places.packed()
+        if places.size:
+            yield from places.packed()
 
     return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")), "text").mapInArrow(run, SCORED)
 
 
+def fit_group(q: np.ndarray, w: np.ndarray, counts: np.ndarray, rng, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and biases of a group's tokens, from its training occurrences (features of the contexts, tokens): one pass by AdaGrad."""
+    r, b = np.zeros((len(counts), q.shape[1]), np.float32), np.log(counts + 0.5).astype(np.float32)
+    squares = np.full(r.shape, 1e-2, np.float32)
+    order = rng.permutation(len(w))
+    for at in range(0, len(w) if rate else 0, TAIL_BATCH):
+        i = order[at : at + TAIL_BATCH]
+        g = -group_probabilities(q[i], r, b)
+        g[np.arange(len(i)), w[i]] += 1
+        g = g.T @ q[i] / len(i)
+        squares += g * g
+        r += rate * g / np.sqrt(squares)
+    return r, b
+
+
+def group_probabilities(q, r, b) -> np.ndarray:
+    s = q @ r.T + b
+    s = np.exp(s - s.max(1, keepdims=True))
+    return s / s.sum(1, keepdims=True)
+
+
+def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) -> DataFrame:
+    """For each document with tokens of the tail: sums over them of the base, of the model beyond their class, and the number known."""
+    sent = rows.sparkSession.sparkContext.broadcast((params, vocabulary.mass, vocabulary.groups, vocabulary.unknown, TAIL_RATE))
+
+    def run(key, group):
+        params, mass, groups, unknown, rate = sent.value
+        q1, q2, output_r, output_b = views(params)
+        part = key[0].as_py()
+        own = part // groups
+        words = group.column("word").combine_chunks().dictionary_encode()
+        joined = lambda c: np.frombuffer(b"".join(group.column(c).to_pylist()), "<u4").astype(np.int64)
+        docs, context = joined("docs"), joined("contexts")
+        sizes = pc.binary_length(group.column("docs")).to_numpy() // 4
+        w, home = np.repeat(words.indices.to_numpy().astype(np.int64), sizes), np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
+        train, row = docs % 2 == 0, (home << 40) + docs // 2
+        q = q1[context // len(output_b)] + q2[context % len(output_b)]
+        counts = np.bincount(w[train], minlength=len(words.dictionary))
+        known = counts[w] > 0
+        # an unknown token: the unknown one's output in place of the class'
+        model = (output_b[unknown] - output_b[own] - q @ output_r[own]).astype(np.float64)
+        if train.any():
+            number = np.cumsum(counts > 0) - 1
+            c = counts[counts > 0]
+            k, at = number[w], np.flatnonzero(known)
+            r, b = fit_group(q[train], k[train], c, np.random.default_rng(part), rate)
+            share = math.log((c + 0.5).sum() / mass[own])
+            for i in range(0, len(at), 4096):
+                j = at[i : i + 4096]
+                s = q[j] @ r.T + b
+                top = s.max(1)
+                model[j] = share + s[np.arange(len(j)), k[j]] - top - np.log(np.exp(s - top[:, None]).sum(1))
+        row, place = np.unique(row, return_inverse=True)
+        total = lambda x: pa.array(np.bincount(place, x, len(row)))
+        return pa.table({"row": pa.array(row), "base": total(np.log10(counts + 0.5)[w]), "model": total(model / math.log(10)), "known": total(known)})
+
+    places = rows.where("part is not null").select("part", "word", "home", "docs", "contexts")
+    found = places.groupBy("part").applyInArrow(run, "row long, base double, model double, known double")
+    return found.groupBy("row").agg(*[F.sum(c).alias(f"tail_{c}") for c in ("base", "model", "known")])
+
+
 def language_model_scores(docs: DataFrame, outputs: int = OUTPUTS, frequent: int = FREQUENT) -> DataFrame:
     """For each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     folder = shared_folder(docs.sparkSession)
@@ -253,16 +376,14 @@ def language_model_scores(docs: DataFrame, outputs: int = OUTPUTS, frequent: int
     for k in (0, 1):
         half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == k
         params = train_round(train.where(half), v, params, folder, f"round{k}")
-    rows = materialize(scored(docs, v, smoothed(params, v)), folder, "scored")
-    rare = rows.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n")
-    tail = counts.where(F.col("c") < v.cut)
-    rare = rare.join(tail, "word", "left").groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_base"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"))
-    out = rows.drop("rare").join(rare, "row", "left")
-    extra = F.coalesce("rare_base", F.lit(0.0))
+    params = smoothed(params, v)
+    rows = materialize(scored(docs, v, params), folder, "scored")
+    out = rows.where("part is null").drop("part", "word", "home", "docs", "contexts").join(tail_scores(rows, v, params), "row", "left")
+    extra = lambda c: F.coalesce(f"tail_{c}", F.lit(0.0))
     scale = math.log10(v.total + 0.5 * (v.distinct + 1))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"), F.lit(v.total).cast("long").alias("train_tokens"),
-        (F.col("base") + extra - F.col("n_tokens") * F.lit(scale)).alias("base_score"), (F.col("model") + extra).alias("score"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_head") + extra("known")).cast("long").alias("n_known"), F.lit(v.total).cast("long").alias("train_tokens"),
+        (F.col("base") + extra("base") - F.col("n_tokens") * F.lit(scale)).alias("base_score"), (F.col("model") + extra("model")).alias("score"),
     )
 
 
