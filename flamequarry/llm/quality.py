@@ -6,6 +6,9 @@ by more than ``limit`` documents of their host are removed, and a document that
 its words is rejected. Counting is two aggregations that combine before the shuffle; the frequent lines meet the
 documents' lines in a shuffle join, so nothing is broadcast and a hot host or line is split by AQE.
 
+``cleaned`` counts families in place of texts: near copies of one another, whatever their number, make no line frequent.
+Only the documents that hold a line above the limit are compared for that.
+
 Nulls, blank texts: no words, base_failed. A null host is a host of its own. Repeated rows each get their own result.
 ``judged`` replaces columns of docs that are named like its own; ``cleaned`` returns all columns of docs as they were.
 """
@@ -16,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, lower_ascii, materialize, shared_folder, table, word_array
+from .minhash import near_duplicates
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 LINE_LIMIT, DEPLETED = 20, 20
+FAMILY = 80  # percent of shingles that members of a family share
 MIN_WORDS, MAX_REPEAT = 50, 50
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
@@ -65,12 +70,23 @@ def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     return lines.groupBy("host", "line", "digest").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > limit)
 
 
-def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -> DataFrame:
-    """docs with the base measures, removed (hashes of its lines above the limit), n_removed_words, kept."""
+def by_family(docs: DataFrame, lines: DataFrame, limit: int, folder: str) -> DataFrame:
+    """lines of the documents with a line above the limit, with their family's number (where they have shingles) as digest."""
+    frequent = frequent_lines(lines, limit).select(F.col("host").alias("fhost"), F.col("line").alias("fline"))
+    holders = materialize(lines.join(frequent, lines.host.eqNullSafe(F.col("fhost")) & (lines.line == F.col("fline")), "left_semi"), folder, "holders")
+    texts = docs.select("_row", "text").join(holders.select("_row").distinct(), "_row", "left_semi").dropDuplicates(["_row"])
+    texts = materialize(texts.select(F.col("_row").alias("doc_id"), "text"), folder, "holders_texts")
+    families = near_duplicates(texts, FAMILY).where("class is not null").select(F.col("doc_id").alias("_row"), "component_id")
+    return holders.join(families, "_row", "left").withColumn("digest", F.coalesce("component_id", "digest")).drop("component_id")
+
+
+def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED, families: bool = False) -> DataFrame:
+    """docs with the base measures, removed (hashes of its lines above the limit), n_removed_words, kept; families: near copies count once."""
     folder = shared_folder(docs.sparkSession)
     docs = docs.withColumn("_row", F.xxhash64("doc_id", "text", "source"))
     lines = materialize(line_table(docs), folder, "lines")
-    frequent = frequent_lines(lines, limit).select(F.col("host").alias("fhost"), "line")
+    counted = by_family(docs, lines, limit, folder) if families else lines
+    frequent = frequent_lines(counted, limit).select(F.col("host").alias("fhost"), "line")
     gone = lines.join(frequent, (lines.host.eqNullSafe(frequent.fhost)) & (lines.line == frequent.line), "left_semi")
     # equal rows share _row: their lines are counted once
     gone = gone.groupBy("_row", "line").agg((F.sum("words") / F.count("*")).alias("each"), F.count("*").alias("rows"))
@@ -86,7 +102,7 @@ def cleaned(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED)
     """The documents kept, their frequent lines removed; columns as given."""
     folder, others = shared_folder(docs.sparkSession), [c for c in docs.columns if c not in ("doc_id", "text", "source")]
     packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("_given"))
-    out = materialize(judged(packed, limit, depleted), folder, "judged").where("kept")
+    out = materialize(judged(packed, limit, depleted, families=True), folder, "judged").where("kept")
     text = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", F.xxhash64(normal_line(x)))), "\n")
     out = out.withColumn("text", F.when(F.size("removed") > 0, text).otherwise(F.col("text")))
     given = {c: F.col("_given").getField(c) for c in others}
