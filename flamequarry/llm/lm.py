@@ -6,15 +6,18 @@ split by hash into groups of about ``GROUP`` tokens, as many as the corpus needs
 its class, and each of its tokens a vector and a bias of its own, normalised over the group. So the probabilities of all
 known tokens and of one unknown token sum to one. As context, a token of the tail is its class.
 
-* Counts: every training token, one aggregation that combines before the shuffle. Tokens of at least the count that
-  leaves ``frequent`` tokens or fewer go to the executors (a bound in tokens, found from the histogram of counts).
+* Counts: every training token, one aggregation that combines before the shuffle. The head is a top-k of it; it has ``OUTPUTS``
+  tokens, and more (the square root of the distinct ones, as a power of two) for a vocabulary beyond four million.
+* Coding: one pass turns texts into packed output numbers and packs the tail's places by token; later passes read these.
 * Tail: each occurrence goes to its group in one shuffle; the group's task counts, trains (one pass over the training
   documents' occurrences, softmax over the group) and scores. A group holds no token of the head, which bounds it.
-* Training: each task runs over all its documents once from the same start, in two rounds (half of the documents each);
-  after a round the tasks' parameters are averaged, weighted by tokens, in groups of at most ``FAN`` a task.
+* Training: documents are dealt by hash to shards of about ``SHARD`` tokens, however the rows are partitioned. A shard's task
+  runs over its documents in order of doc_id, from the same start and a seed of its own, in two rounds (half of the
+  documents each); after a round the shards' parameters are averaged, weighted by tokens, in groups of at most ``FAN`` a task.
+  So scores do not depend on the partitions or the number of executors, but for rounding.
 * Smoothing: half a count is added to each token, known or not, as prior odds in the biases; NCE learns the counts' own.
 * Scoring: batched matrix products. The normaliser depends on the two context tokens alone, so it is summed over all
-  outputs once for each context met.
+  outputs once for each context met, and remembered in a table of fixed size.
 
 Nulls: a null text is empty and has the end token alone; a null doc_id belongs to the training part. Repeated rows each
 count and each get a result. Without training documents every token is unknown.
@@ -36,8 +39,8 @@ from .common import lower_ascii, materialize, shared_folder, table, word_array
 
 END = "\n"  # no word holds it
 OUTPUTS, WIDTH, NOISE, BATCH, RATE = 2048, 24, 32, 1024, 0.2
-FREQUENT, FAN = 65_536, 16
-HEAD_CLASS, GROUP, TAIL_BATCH, TAIL_RATE, PLACES = 64, 256, 256, 4.0, 1 << 20
+SHARD, FAN, KEPT = 1 << 22, 16, 1 << 22
+HEAD_CLASS, GROUP, TAIL_BATCH, TAIL_RATE, PLACES = 64, 256, 256, 2.0, 1 << 20
 
 
 def held_out(doc_id):
@@ -54,41 +57,48 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Frequent tokens: number, count, output; the classes of the tail; and the corpus' totals. Outputs: classes, the unknown token, the head."""
-
-    def __init__(self, counts: DataFrame, outputs: int = OUTPUTS, frequent: int = FREQUENT):
-        histogram = counts.groupBy("c").agg(F.count("*").alias("words")).orderBy(F.desc("c"))
-        above, self.cut, self.total, self.distinct = 0, 0, 0, 0
-        for c, n in histogram.toLocalIterator():
-            if not self.cut:
-                above += n
-                if above > frequent:
-                    self.cut = c + 1
-            self.total += c * n
-            self.distinct += n
-        self.cut = self.cut or 1
-        rows = sorted(((c, w.encode()) for w, c in counts.where(F.col("c") >= self.cut).select("word", "c").collect()), key=lambda x: (-x[0], x[1]))
-        self.number = {w: i for i, (_, w) in enumerate(rows)}
-        self.counts = np.array([c for c, _ in rows], np.float64)
-        known = min(outputs - 1, len(rows))
+    """The head's tokens and counts, the classes of the tail, and the corpus' totals. Outputs: classes, the unknown token, the head."""
+
+    def __init__(self, counts: DataFrame, outputs: int | None = None):
+        total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
+        self.total, self.distinct = total or 0, distinct
+        outputs = outputs or max(OUTPUTS, 1 << (math.isqrt(distinct) - 1).bit_length() if distinct > 1 else 1)
+        rows = counts.orderBy(F.desc("c"), "word").limit(outputs - 1).collect()
+        self.words, self.counts = [r["word"].encode() for r in rows], np.array([r["c"] for r in rows], np.float64)
         self.classes = max(1, outputs // HEAD_CLASS)
         self.unknown, self.first = self.classes, self.classes + 1
-        self.outputs = self.first + known
-        self.output = np.array([self.first + i if i < known else zlib.crc32(w) % self.classes for i, (_, w) in enumerate(rows)] + [-1], np.int64)  # the last: not frequent
+        self.outputs = self.first + len(rows)
         tail, words = np.zeros(self.classes), np.zeros(self.classes)
         for k, c, n in counts.groupBy((F.crc32(F.col("word").cast("binary")) % self.classes).cast("int").alias("k")).agg(F.sum("c"), F.count("*")).collect():
             tail[k], words[k] = c, n
-        for c, w in rows[:known]:
+        for c, w in zip(self.counts, self.words):
             tail[zlib.crc32(w) % self.classes] -= c
             words[zlib.crc32(w) % self.classes] -= 1
         self.groups = max(1, -(-int(words.sum()) // (self.classes * GROUP)))  # of each class
         self.mass = tail + 0.5 * words
-        unigram = np.concatenate([np.maximum(tail, 0.5), [0.5], self.counts[:known]])
+        unigram = np.concatenate([np.maximum(tail, 0.5), [0.5], self.counts])
         self.unigram = unigram / unigram.sum()
-        smooth = np.concatenate([np.maximum(self.mass, 1e-6), [0.5], self.counts[:known] + 0.5])
+        smooth = np.concatenate([np.maximum(self.mass, 1e-6), [0.5], self.counts + 0.5])
         self.log_smooth = np.log(smooth / smooth.sum())
         self.smooth = (self.log_smooth - np.log(self.unigram)).astype(np.float32)
-        self.end = int(self.outputs_of([b"\n"])[0])
+        self.end = int(self.coder().outputs_of([b"\n"])[0])
+
+    def plain(self) -> tuple:
+        """What a Coder needs, without any class of ours: executors may have no copy of this package."""
+        return self.words, self.counts, self.classes, self.groups
+
+    def coder(self) -> Coder:
+        return Coder(*self.plain())
+
+
+class Coder:
+    """Tokens to outputs; rebuilt in each task."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray, classes: int, groups: int):
+        self.classes, self.groups, self.first, self.outputs = classes, groups, classes + 1, classes + 1 + len(words)
+        self.number = {w: self.first + i for i, w in enumerate(words)}
+        self.log_c = np.concatenate([np.zeros(self.first), np.log10(counts + 0.5)])
+        self.kind = "<u4" if self.outputs < 1 << 16 else "<u8"  # of a pair of contexts
 
     def part_of(self, word: bytes) -> int:
         """The group of a token of the tail: those of a class are neighbours."""
@@ -96,14 +106,11 @@ class Vocabulary:
         return h % self.classes * self.groups + h // self.classes % self.groups
 
     def outputs_of(self, words: list[bytes]) -> np.ndarray:
-        out = self.output[self.numbers(words)]
+        out = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
         for i in np.flatnonzero(out < 0).tolist():
             out[i] = zlib.crc32(words[i]) % self.classes
         return out
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-
 
 def contexts(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the outputs of texts (each closed by end): the two before each token and the token; an end comes before a text."""
@@ -166,39 +173,39 @@ class Trainer:
         self.seen += len(w)
 
 
-def train_round(docs: DataFrame, vocabulary: Vocabulary, params: np.ndarray, folder: str, name: str) -> np.ndarray:
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, params))
-
-    def run(batches):
-        from pyspark import TaskContext
+def train_round(coded: DataFrame, v: Vocabulary, params: np.ndarray, shards: int, folder: str, name: str) -> np.ndarray:
+    """coded: doc_id, ids."""
+    sent = coded.sparkSession.sparkContext.broadcast((v.unigram, v.end, params))
 
-        v, p = sent.value
-        part = TaskContext.get().partitionId()
-        trainer, held, size = Trainer(p, v.unigram, part), [], 0
-        for batch in batches:
-            for text in batch.column(0):
-                ids = v.outputs_of(tokens_of(text.as_py()))
-                held.append(ids)
-                size += len(ids)
-                if size >= 1 << 18:
-                    fit(trainer, held, v.end)
-                    held, size = [], 0
-        fit(trainer, held, v.end)
-        if trainer.seen:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([float(trainer.seen)], pa.float64()), pa.array([trainer.p.tobytes()], pa.binary())], names=["part", "weight", "params"])
+    def run(key, group):
+        unigram, end, p = sent.value
+        part = key[0].as_py()
+        ids, texts = group.column("doc_id").to_pylist(), group.column("ids").to_pylist()
+        trainer, held, size = Trainer(p, unigram, part), [], 0
+        for i in sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i])):
+            held.append(np.frombuffer(texts[i], "<u4").astype(np.int64))
+            size += len(held[-1])
+            if size >= 1 << 18:
+                fit(trainer, held, end)
+                held, size = [], 0
+        fit(trainer, held, end)
+        return pa.table({"part": pa.array([part], pa.int64()), "weight": pa.array([float(trainer.seen)], pa.float64()), "params": pa.array([trainer.p.tobytes()], pa.binary())})
 
     def mean(group):
         weight, total = np.array(group.column("weight").to_pylist()), 0
-        for w, p in zip(weight, group.column("params")):
-            total = total + w * np.frombuffer(p.as_py(), np.float32).astype(np.float64)
-        return pa.table({"part": group.column("part").slice(0, 1), "weight": pa.array([weight.sum()], pa.float64()), "params": pa.array([(total / weight.sum()).astype(np.float32).tobytes()], pa.binary())})
-
-    rows = materialize(docs.select("text").mapInArrow(run, "part long, weight double, params binary"), folder, name)
+        parts, params = group.column("part").to_pylist(), group.column("params")
+        for i in np.argsort(parts).tolist():
+            total = total + weight[i] * np.frombuffer(params[i].as_py(), np.float32).astype(np.float64)
+        return pa.table({"part": pa.array([min(parts)], pa.int64()), "weight": pa.array([weight.sum()], pa.float64()), "params": pa.array([(total / weight.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+    kind = "part long, weight double, params binary"
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id", "ids"), F.lit(shards)).alias("shard")
+    rows = materialize(coded.select(shard, "doc_id", "ids").groupBy("shard").applyInArrow(run, kind), folder, name)
     level = 0
     while (n := rows.count()) > 1:
         groups = -(-n // FAN)
         key = F.pmod(F.xxhash64("part", F.lit(level)), F.lit(groups))
-        rows = materialize(rows.withColumn("bucket", key).groupBy("bucket").applyInArrow(mean, "part long, weight double, params binary"), folder, f"{name}-{(level := level + 1)}")
+        rows = materialize(rows.withColumn("bucket", key).groupBy("bucket").applyInArrow(mean, kind), folder, f"{name}-{(level := level + 1)}")
     found = rows.collect()
     return np.frombuffer(found[0]["params"], np.float32) if found else params
 
@@ -212,37 +219,44 @@ def fit(trainer: Trainer, texts: list[np.ndarray], end: int) -> None:
 
 
 class Scorer:
-    """Normalised natural log-probabilities; normalisers are kept by context."""
+    """Normalised natural log-probabilities; normalisers are kept by context, the newest of those that share a place."""
 
     def __init__(self, params: np.ndarray):
         self.q1, self.q2, self.r, self.b = views(params)
-        self.log_z = np.full(len(self.b) ** 2, np.nan, np.float32)
+        self.places = min(len(self.b) ** 2, KEPT)
+        self.key, self.log_z = np.full(self.places, -1, np.int64), np.zeros(self.places, np.float32)
+
+    def normalisers(self, key: np.ndarray) -> np.ndarray:
+        pairs, at = np.unique(key, return_inverse=True)
+        slot = pairs % self.places
+        out, n = self.log_z[slot], len(self.b)
+        fresh = np.flatnonzero(self.key[slot] != pairs)
+        for i in range(0, len(fresh), 1024):
+            j = fresh[i : i + 1024]
+            s = (self.q1[pairs[j] // n] + self.q2[pairs[j] % n]) @ self.r.T + self.b
+            top = s.max(1)
+            out[j] = top + np.log(np.exp(s - top[:, None]).sum(1))
+        self.key[slot[fresh]], self.log_z[slot[fresh]] = pairs[fresh], out[fresh]
+        return out[at]
 
     def score(self, c1, c2, w) -> np.ndarray:
-        key = c1 * len(self.b) + c2
-        fresh = np.unique(key[np.isnan(self.log_z[key])])
-        for at in range(0, len(fresh), 1024):
-            f = fresh[at : at + 1024]
-            s = (self.q1[f // len(self.b)] + self.q2[f % len(self.b)]) @ self.r.T + self.b
-            top = s.max(1)
-            self.log_z[f] = top + np.log(np.exp(s - top[:, None]).sum(1))
         out = np.empty(len(w))
         for at in range(0, len(w), BATCH):
             i = slice(at, at + BATCH)
             out[i] = np.einsum("ij,ij->i", self.q1[c1[i]] + self.q2[c2[i]], self.r[w[i]]) + self.b[w[i]]
-        return out - self.log_z[key]
+        return out - self.normalisers(c1 * len(self.b) + c2)
 
 
 #: Two kinds of row: of a document (part is null), and of a token of the tail: its places, packed.
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, model double, part int, word binary, home int, docs binary, contexts binary"
-SCORED_TYPE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_head", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("part", pa.int32()), ("word", pa.binary()), ("home", pa.int32()), ("docs", pa.binary()), ("contexts", pa.binary())])
+CODED = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, ids binary, part int, word binary, home int, docs binary, contexts binary"
+CODED_TYPE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_head", pa.int64()), ("base", pa.float64()), ("ids", pa.binary()), ("part", pa.int32()), ("word", pa.binary()), ("home", pa.int32()), ("docs", pa.binary()), ("contexts", pa.binary())])
 
 
 class Places:
     """The places of tokens of the tail in a task's documents, packed by token once there are PLACES of them."""
 
-    def __init__(self, vocabulary: Vocabulary, home: int):
-        self.v, self.home = vocabulary, home
+    def __init__(self, coder: Coder, home: int):
+        self.v, self.home = coder, home
         self.clear()
 
     def clear(self) -> None:
@@ -253,39 +267,40 @@ class Places:
         number = self.number
         self.words.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
         self.docs.append(docs.astype("<u4"))
-        self.contexts.append(contexts.astype("<u4"))
+        self.contexts.append(contexts.astype(self.v.kind))
         self.size += len(words)
 
     def packed(self):
         w, docs, contexts, words = np.concatenate(self.words), np.concatenate(self.docs), np.concatenate(self.contexts), list(self.number)
-        order = np.argsort(w, kind="stable")
-        offsets = pa.array((np.concatenate([[0], np.cumsum(np.bincount(w, minlength=len(words)))]) * 4).astype(np.int32))
-        pack = lambda x: pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, offsets.buffers()[1], pa.py_buffer(x[order].tobytes())])
+        order, ends = np.argsort(w, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(w, minlength=len(words)))])
+
+        def pack(x):
+            offsets = pa.array((ends * x.itemsize).astype(np.int32))
+            return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, offsets.buffers()[1], pa.py_buffer(x[order].tobytes())])
+
         columns = {"part": pa.array([self.v.part_of(x) for x in words], pa.int32()), "word": pa.array(words, pa.binary()), "home": pa.array(np.full(len(words), self.home, np.int32)), "docs": pack(docs), "contexts": pack(contexts)}
         self.clear()
-        whole = pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in SCORED_TYPE], schema=SCORED_TYPE)
+        whole = pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in CODED_TYPE], schema=CODED_TYPE)
         for at in range(0, len(words), 10_000):
             yield whole.slice(at, 10_000)
 
 
-def scored(docs: DataFrame, vocabulary: Vocabulary, params: np.ndarray) -> DataFrame:
-    """For each row of docs: sums over its tokens (those of the tail count as their class); and the places of the tokens of the tail."""
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, params))
+def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """For each row of docs: its outputs and sums over its tokens of the head; and the places of the tokens of the tail."""
+    sent = docs.sparkSession.sparkContext.broadcast((vocabulary.plain(), vocabulary.end))
 
     def run(batches):
         from pyspark import TaskContext
 
-        v, p = sent.value
-        scorer, home, n = Scorer(p), TaskContext.get().partitionId(), 0
+        plain, end = sent.value
+        v, home, n = Coder(*plain), TaskContext.get().partitionId(), 0
         places = Places(v, home)
-        log_c = np.concatenate([np.zeros(v.first), np.log10(v.counts[: v.outputs - v.first] + 0.5)])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 words = [tokens_of(text.as_py()) for text in part.column(2)]
                 outs = [v.outputs_of(w) for w in words]
-                c1, c2, w = contexts(outs, v.end)
-                s = scorer.score(c1, c2, w)
+                c1, c2, w = contexts(outs, end)
                 sizes = np.array([len(o) for o in outs])
                 starts = np.cumsum(sizes) - sizes
                 tail = w < v.first
@@ -294,15 +309,37 @@ def scored(docs: DataFrame, vocabulary: Vocabulary, params: np.ndarray) -> DataF
                 held = np.array(part.column(1).to_pylist(), bool)
                 places.add([flat[k] for k in i.tolist()], np.repeat(2 * (n + np.arange(len(words))) + held, sizes)[i], c1[i] * v.outputs + c2[i])
                 total = lambda x: pa.array(np.add.reduceat(x, starts))
-                columns = {"row": pa.array((home << 40) + n + np.arange(len(words))), "doc_id": part.column(0), "held_out": part.column(1), "n_tokens": pa.array(sizes.astype(np.int64)), "n_head": total((~tail).astype(np.int64)), "base": total(log_c[w]), "model": total(s / math.log(10))}
+                columns = {"row": pa.array((home << 40) + n + np.arange(len(words))), "doc_id": part.column(0), "held_out": part.column(1), "n_tokens": pa.array(sizes.astype(np.int64)), "n_head": total((~tail).astype(np.int64)), "base": total(v.log_c[w]), "ids": pa.array([o.astype("<u4").tobytes() for o in outs], pa.binary())}
                 n += len(words)
-                yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in SCORED_TYPE], schema=SCORED_TYPE)
+                yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in CODED_TYPE], schema=CODED_TYPE)
                 if places.size >= PLACES:
                     yield from places.packed()
         if places.size:
             yield from places.packed()
 
-    return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")), "text").mapInArrow(run, SCORED)
+    return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")), "text").mapInArrow(run, CODED)
+
+
+#: Columns of a coded document that the result needs.
+DOCUMENT = ["row", "doc_id", "held_out", "n_tokens", "n_head", "base"]
+
+
+def scored(rows: DataFrame, params: np.ndarray, end: int) -> DataFrame:
+    """Coded documents with model: the sum over all tokens, those of the tail as their class."""
+    sent = rows.sparkSession.sparkContext.broadcast((params, end))
+
+    def run(batches):
+        params, end = sent.value
+        scorer = Scorer(params)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                outs = [np.frombuffer(x.as_py(), "<u4").astype(np.int64) for x in part.column("ids")]
+                sizes = np.array([len(o) for o in outs])
+                s = np.add.reduceat(scorer.score(*contexts(outs, end)), np.cumsum(sizes) - sizes)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in DOCUMENT), pa.array(s / math.log(10))], names=[*DOCUMENT, "model"])
+
+    return rows.select(*DOCUMENT, "ids").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, model double")
 
 
 def fit_group(q: np.ndarray, w: np.ndarray, counts: np.ndarray, rng, rate: float) -> tuple[np.ndarray, np.ndarray]:
@@ -335,14 +372,15 @@ def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) ->
         q1, q2, output_r, output_b = views(params)
         part = key[0].as_py()
         own = part // groups
-        words = group.column("word").combine_chunks().dictionary_encode()
-        joined = lambda c: np.frombuffer(b"".join(group.column(c).to_pylist()), "<u4").astype(np.int64)
-        docs, context = joined("docs"), joined("contexts")
+        words = pc.unique(group.column("word")).sort()
+        kind = "<u4" if len(output_b) < 1 << 16 else "<u8"
+        joined = lambda c, kind="<u4": np.frombuffer(b"".join(group.column(c).to_pylist()), kind).astype(np.int64)
+        docs, context = joined("docs"), joined("contexts", kind)
         sizes = pc.binary_length(group.column("docs")).to_numpy() // 4
-        w, home = np.repeat(words.indices.to_numpy().astype(np.int64), sizes), np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
+        w, home = np.repeat(pc.index_in(group.column("word"), words).to_numpy().astype(np.int64), sizes), np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
         train, row = docs % 2 == 0, (home << 40) + docs // 2
         q = q1[context // len(output_b)] + q2[context % len(output_b)]
-        counts = np.bincount(w[train], minlength=len(words.dictionary))
+        counts = np.bincount(w[train], minlength=len(words))
         known = counts[w] > 0
         # an unknown token: the unknown one's output in place of the class'
         model = (output_b[unknown] - output_b[own] - q @ output_r[own]).astype(np.float64)
@@ -350,7 +388,9 @@ def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) ->
             number = np.cumsum(counts > 0) - 1
             c = counts[counts > 0]
             k, at = number[w], np.flatnonzero(known)
-            r, b = fit_group(q[train], k[train], c, np.random.default_rng(part), rate)
+            first = np.flatnonzero(train)
+            first = first[np.lexsort((context[first], k[first]))]  # whatever the order of the rows
+            r, b = fit_group(q[first], k[first], c, np.random.default_rng(part), rate)
             share = math.log((c + 0.5).sum() / mass[own])
             for i in range(0, len(at), 4096):
                 j = at[i : i + 4096]
@@ -366,19 +406,19 @@ def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) ->
     return found.groupBy("row").agg(*[F.sum(c).alias(f"tail_{c}") for c in ("base", "model", "known")])
 
 
-def language_model_scores(docs: DataFrame, outputs: int = OUTPUTS, frequent: int = FREQUENT) -> DataFrame:
+def language_model_scores(docs: DataFrame, outputs: int | None = None, shard: int = SHARD) -> DataFrame:
     """For each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     folder = shared_folder(docs.sparkSession)
-    train = docs.where(~held_out(F.col("doc_id")))
-    counts = materialize(token_counts(train), folder, "counts")
-    v = Vocabulary(counts, outputs, frequent)
-    params = start(v)
+    counts = materialize(token_counts(docs.where(~held_out(F.col("doc_id")))), folder, "counts")
+    v = Vocabulary(counts, outputs)
+    rows = materialize(coded(docs, v), folder, "coded")
+    texts = rows.where("part is null")
+    train, params = texts.where("not held_out").select("doc_id", "ids"), start(v)
     for k in (0, 1):
-        half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == k
-        params = train_round(train.where(half), v, params, folder, f"round{k}")
+        half = F.pmod(F.xxhash64(F.lit("half"), "doc_id", "ids"), F.lit(2)) == k
+        params = train_round(train.where(half), v, params, max(1, -(-v.total // shard)), folder, f"round{k}")
     params = smoothed(params, v)
-    rows = materialize(scored(docs, v, params), folder, "scored")
-    out = rows.where("part is null").drop("part", "word", "home", "docs", "contexts").join(tail_scores(rows, v, params), "row", "left")
+    out = scored(texts, params, v.end).join(tail_scores(rows, v, params), "row", "left")
     extra = lambda c: F.coalesce(f"tail_{c}", F.lit(0.0))
     scale = math.log10(v.total + 0.5 * (v.distinct + 1))
     return out.select(

@@ -92,7 +92,7 @@ def test_pieces_edges(spark, odd):
 # --- language model
 def test_lm_base_and_gain(spark, docs):
     rows = docs + [(-1, None), (-2, "unseen-word-here")]
-    got = {r.doc_id: r for r in lm.language_model_scores(spark.createDataFrame(rows, "doc_id long, text string"), outputs=256, frequent=500).collect()}
+    got = {r.doc_id: r for r in lm.language_model_scores(spark.createDataFrame(rows, "doc_id long, text string"), outputs=256).collect()}
     tokens = {i: [*(t or "").encode().lower().split(), b"\n"] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in tokens}
     c = Counter(w for i, x in tokens.items() if not held[i] for w in x)
