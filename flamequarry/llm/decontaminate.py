@@ -5,9 +5,11 @@ are ordered by the number of documents that hold them. As a window must be conta
 cannot avoid is its rarest shingle: documents are joined with these prefix shingles only. The shingle's place gives the
 window's place; bounds drop windows that would begin before the text or end after it, and the words decide.
 
-Items go in blocks of at most ``block`` windows: one block's index (bounded by that) is sent to the executors, and each
-block is one pass that counts shingles and one that joins. With one block nothing is shuffled by text, so frequent
-passages and hot sources cost no skew; with more, the blocks' findings meet by document.
+A benchmark of up to ``block`` windows is one index, bounded by that, which goes to the executors: one pass counts
+shingles and one joins, nothing is shuffled by text, and frequent passages and hot sources cost no skew. A larger one is
+joined in shuffles, in two passes whatever its size: windows and shingles are tables; a bitmap of their keys (at most
+2**``BITS`` bits) leaves out the documents' other shingles; what passes meets the prefix shingles by key, with the words
+around it for the verification. A hot shingle has many document rows but only its own windows, so a skewed join splits it.
 
 Nulls: a null text has no words; items with a null item_id or without words are ignored. Repeated document rows each get
 a result. Items that share an item_id count once. Extra columns are ignored.
@@ -21,12 +23,13 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, shared_folder, table
 
-WINDOW, SHINGLE, BLOCK = 10, 3, 50_000
+WINDOW, SHINGLE, BLOCK, BITS = 10, 3, 50_000, 28
 #: Bytes of lower-cased words stay (letters, digits, all of UTF-8 beyond ASCII); all others part them.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -41,7 +44,7 @@ def item_windows(text: str | None, window: int = WINDOW) -> list[tuple[bytes, ..
 
 
 def keys_of(ids: np.ndarray, k: int) -> np.ndarray:
-    """A key for each run of k words, 0 where one of them is no item word. Word numbers stay below 2**20."""
+    """A key for each run of k words, 0 where one of them is no item word. Word numbers stay below 2**20 (BLOCK * WINDOW is)."""
     n = len(ids) - k + 1
     if n <= 0:
         return np.empty(0, np.int64)
@@ -85,11 +88,12 @@ class Block:
 
     def prefixes(self, df: np.ndarray) -> None:
         """Orders each window's shingles by rarity, ties by key; keeps the rarest and its place."""
-        self.by_prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        by_prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for i, own in enumerate(self.shingles):
             n = np.searchsorted(self.keys, own)
             off = min(range(len(own)), key=lambda j: (df[n[j]], own[j]))
-            self.by_prefix[int(n[off])].append((i, off))
+            by_prefix[int(n[off])].append((i, off))
+        self.by_prefix = dict(by_prefix)
         self.is_prefix = np.zeros(len(self.keys), bool)
         self.is_prefix[list(self.by_prefix)] = True
         self.coded = [w.tobytes() for w in self.windows]
@@ -110,23 +114,18 @@ class Block:
         return spans, items
 
 
-def blocks_of(benchmark: DataFrame, window: int, block: int):
-    """Blocks of items, read one row at a time; a block ends at so many windows."""
-    items = []
-    for row in benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null").toLocalIterator():
-        items += [(row[0], w) for w in item_windows(row[1], window)]
-        while len(items) >= block:
-            yield Block(items[:block])
-            items = items[block:]
-    if items:
-        yield Block(items)
+def block_of(plain: dict) -> Block:
+    """The block with this state: executors get plain data, as they may have no copy of this package."""
+    out = Block.__new__(Block)
+    out.__dict__.update(plain)
+    return out
 
 
 def document_frequency(docs: DataFrame, block: Block) -> np.ndarray:
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(block))
 
     def run(batches):
-        own = sent.value
+        own = block_of(sent.value)
         df = np.zeros(len(own.keys), np.int64)
         for batch in batches:
             for text in batch.column(0):
@@ -146,10 +145,10 @@ FOUND = "doc_id long, digest long, n_words long, spans array<struct<begin:int,en
 
 
 def matched(docs: DataFrame, block: Block | None) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(block) if block else None)
 
     def run(batches):
-        own = sent.value
+        own = block_of(sent.value) if sent.value else None
         for batch in batches:
             size, spans, items = [], [], []
             for text in batch.column(2):
@@ -163,21 +162,134 @@ def matched(docs: DataFrame, block: Block | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, FOUND)
 
 
+def hashed(words: list[bytes], k: int, seen: dict[bytes, int]) -> np.ndarray:
+    """64-bit hashes of the runs of k words."""
+    if len(seen) > 1 << 19:
+        seen.clear()
+    x = np.fromiter((seen.get(w) or seen.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words), np.uint64, len(words))
+    out = x[: max(0, len(x) - k + 1)] + np.uint64(k)
+    for i in range(1, k):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + x[i : len(out) + i]
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def window_table(benchmark: DataFrame, window: int) -> DataFrame:
+    """item_id, window (words joined by spaces), distinct."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                rows = [(i, b" ".join(w).decode()) for i, t in zip(batch.column(0).slice(at, 64).to_pylist(), batch.column(1).slice(at, 64).to_pylist()) for w in item_windows(t, window)]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([w for _, w in rows], pa.string())], names=["item_id", "window"])
+
+    return benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null").mapInArrow(run, "item_id long, window string").distinct()
+
+
+def window_shingles(windows: DataFrame) -> DataFrame:
+    """window, k (words of a shingle), place, key of each shingle of each window."""
+
+    def run(batches):
+        seen: dict[bytes, int] = {}
+        for batch in batches:
+            rows = []
+            for text in batch.column(0).to_pylist():
+                words = text.encode().split(b" ")
+                k = min(SHINGLE, len(words))
+                rows += [(text, k, i, h) for i, h in enumerate(hashed(words, k, seen).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, (pa.string(), pa.int32(), pa.int32(), pa.int64()))], names=["window", "k", "place", "key"])
+
+    return windows.select("window").distinct().mapInArrow(run, "window string, k int, place int, key long")
+
+
+def bitmap(keys: DataFrame, count: int) -> np.ndarray:
+    """A bit for each key (its low bits), in at most 2**BITS bits: it lets other keys pass, a join decides."""
+    bits = min(BITS, max(10, (16 * count).bit_length()))
+    rows = keys.select((F.col("key").bitwiseAND(F.lit((1 << bits) - 1))).alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias("v"))
+    out = np.zeros(max(1, (1 << bits) >> 6), np.int64)
+    for w, v in rows.toLocalIterator():
+        out[w] = v
+    return out
+
+
+def passing(keys: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Places of the keys whose bit is set."""
+    b = keys & (len(own) * 64 - 1)
+    return np.flatnonzero((own[b >> 6] >> (b & 63)) & 1)
+
+
+def joined(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """What matched() gives, for benchmarks of any size: windows and documents meet in shuffles."""
+    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
+    windows = materialize(window_table(benchmark, window), folder, "windows")
+    shingles = materialize(window_shingles(windows), folder, "shingles")
+    lengths = sorted(r[0] for r in shingles.select("k").distinct().collect())
+    keys = materialize(shingles.select("key").distinct(), folder, "keys")
+    sent = spark.sparkContext.broadcast((bitmap(keys, keys.count()), lengths))
+
+    def held(batches):
+        own, lengths = sent.value
+        seen: dict[bytes, int] = {}
+        for batch in batches:
+            for text in batch.column(0):
+                words = words_of(text.as_py())
+                found = [h[passing(h, own)] for h in (hashed(words, k, seen) for k in lengths)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)) if found else [], pa.int64())], names=["key"])
+
+    frequency = docs.select("text").mapInArrow(held, "key long").groupBy("key").agg(F.count("*").alias("documents"))
+    frequency = materialize(frequency.join(keys, "key", "left_semi"), folder, "frequency")
+    ranked = shingles.join(frequency, "key")  # a window with a shingle that no document holds drops out below
+    rarest = F.min(F.struct("documents", "key", "place", "k")).alias("r")
+    prefixes = ranked.groupBy("window").agg(rarest, F.count("*").alias("n")).where("n = size(split(window, ' ')) - r.k + 1").select("window", "r.key", "r.place", "r.k")
+    prefixes = materialize(prefixes, folder, "prefixes")
+    prefix_keys = prefixes.select("key").distinct()
+    wanted = spark.sparkContext.broadcast((bitmap(prefix_keys, prefixes.count()), lengths))
+
+    def placed(batches):
+        from pyspark import TaskContext
+
+        own, lengths = wanted.value
+        seen: dict[bytes, int] = {}
+        home, n = TaskContext.get().partitionId() << 40, 0
+        names = ["row", "doc_id", "digest", "n_words", "key", "at", "before", "around"]
+        kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.string()]
+        for batch in batches:
+            for i, d, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                words = words_of(text)
+                rows = [(home + n, i, d, len(words), None, None, None, None)]
+                for k in lengths:
+                    h = hashed(words, k, seen)
+                    for at in passing(h, own).tolist():
+                        low = max(0, at - window + 1)
+                        rows.append((home + n, None, None, None, int(h[at]), at, at - low, b" ".join(words[low : at + window]).decode()))
+                n += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    kind = "row long, doc_id long, digest long, n_words long, key long, at int, before int, around string"
+    rows = materialize(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), "text").mapInArrow(placed, kind), folder, "placed")
+    met = rows.where("key is not null").select("row", "key", "at", "before", "around").join(prefixes, "key").where("place <= before")
+    own = F.split("window", " ")
+    met = met.select("row", "window", (F.col("at") - F.col("place")).alias("begin"), F.size(own).alias("size"), F.slice(F.split("around", " "), F.col("before") - F.col("place") + 1, F.size(own)).alias("words"), own.alias("own"))
+    hits = materialize(met.where("words = own").select("row", "window", "begin", (F.col("begin") + F.col("size")).alias("end")).distinct(), folder, "hits")
+    spans = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("spans"))
+    items = hits.select("row", "window").distinct().join(windows, "window").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    out = rows.where("key is null").select("row", "doc_id", "digest", "n_words").join(spans, "row", "left").join(items, "row", "left")
+    none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
+    return out.select("doc_id", "digest", "n_words", none("spans", "array<struct<begin:int,end:int>>"), none("items", "array<bigint>"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """For each row of docs: doc_id, digest (of its text), n_words, spans (of words, begin and end), items."""
-    found = None
-    count, folder = 0, shared_folder(docs.sparkSession)
-    for own in blocks_of(benchmark, window, block):
-        own.prefixes(document_frequency(docs, own))
-        part = matched(docs, own)
-        if count:  # several blocks: each one's findings are kept, and read together
-            part = materialize(part, folder, f"found{count}")
-            found = materialize(found, folder, "found0") if count == 1 else found
-        found, count = part if found is None else found.unionByName(part), count + 1
-    if count > 1:
-        rows = found.groupBy("doc_id", "digest", "n_words").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), (F.count("*") / count).cast("int").alias("copies"))
-        found = rows.withColumn("_", F.explode(F.sequence(F.lit(1), "copies"))).drop("_", "copies")
-    return matched(docs, None) if found is None else found
+    words = F.size(F.split(F.coalesce("text", F.lit("")), "[^0-9A-Za-z\\x80-\\x{10FFFF}]+"))  # at least the words of a text
+    most = benchmark.where("item_id is not null").select(F.greatest(F.lit(1), words - window + 1).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0
+    if most > block:
+        return joined(docs, benchmark, window)
+    items = [(i, w) for i, t in benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null").collect() for w in item_windows(t, window)]  # at most block windows
+    if not items:
+        return matched(docs, None)
+    own = Block(items)
+    own.prefixes(document_frequency(docs, own))
+    return matched(docs, own)
 
 
 def hit_words(spans):
