@@ -18,13 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset (tests) a folder of our own."""
+    """A new folder below spark.checkpoint.dir. Only a local session (tests) may leave that unset: executors elsewhere would not share a folder of ours."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = "/tmp/checkpoints/flamequarry"
     return f"{top.rstrip('/')}/fq-{uuid.uuid4().hex}"
 
 
+def fresh_name(name: str, columns: list[str]) -> str:
+    """A column name that none of columns has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    name = f"_{name}"
+    while any(c.startswith(name) for c in taken):
+        name = f"_{name}"
+    return name
+
+
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, and a lost executor costs no recomputation."""
     path = f"{folder}/{name}"

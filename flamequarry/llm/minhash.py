@@ -1,18 +1,22 @@
 """MinHash near-duplicate groups: universal hash minima, banding, verification, star-contraction components.
 
-1. One Arrow pass makes each text's set of shingle hashes, its digest and its signature. Texts with equal sets
-   form a class, and only the class's smallest document goes on: copies cost one row each, never pairs.
-2. Signatures are cut into bands; representatives that share a band's minima meet in a bucket.
-   * Buckets of up to ``small`` members give all their pairs (at most (small-1)/2 rows per member). A pair goes on
-     if the signatures agree in enough places, then is confirmed on the full sets built from both texts.
-   * Larger buckets are cut into blocks of ``block`` members. Every pair of blocks is a task that counts all
-     intersections exactly by matrix products over slices of the shingles and returns a spanning forest of its
-     links, so a bucket of near copies returns rows in proportion to its members, and no link between different
-     components is lost.
+1. One Arrow pass makes each text's set of shingle hashes, its digest and its signature. Texts with equal sets form a
+   class, the node of all that follows: copies, and rows that share a doc_id, cost one row each, never pairs.
+2. Signatures are cut into bands; classes that share a band's minima meet in a bucket. A pair goes on from the first band
+   that it shares only, if its signatures agree in enough places, and is confirmed on the full sets built from both texts.
+   Buckets of any size take these three steps, in one of two physical forms:
+   * up to ``small`` members: a self-join by bucket (at most (small-1)/2 rows a member);
+   * above: blocks of members, bounded in documents and in shingles. Each pair of blocks is a task that compares signatures
+     in batches; only members with an agreeing pair not met in an earlier band go on, and their intersections are counted
+     exactly by matrix products over slices of the shingles, of which a spanning forest of the links is returned.
 3. Components: alternating large-star and small-star until nothing changes, each round written to the shared folder.
 
+A pair at the threshold shares no band with a chance of (1 - s**rows)**bands (below 4e-7 at s = 0.85, 3e-5 at 0.8), and its
+signatures agree in fewer than the required places (six standard deviations below the mean) with one below 2e-8.
+
 Nulls, blank texts: no shingles, linked with nothing, component of their own. A null doc_id is kept as it is and
-linked with nothing. Repeated rows of a doc_id count as copies. Extra columns are ignored.
+linked with nothing. Each row is a document of its own: rows of one doc_id with equal texts are copies, those with other
+texts have other components, and each row's component is named by the smallest doc_id of its component. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,12 +28,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import bloom_split, discard, materialize, shared_folder
+from .common import bloom_split, discard, fresh_name, materialize, shared_folder
 
 SHINGLE = 5
 BANDS, ROWS = 20, 4
 SMALL, BLOCK, SLICE = 32, 512, 4096
+LONG = 2048  # shingles of an average member of a full block
 CACHE = 1 << 19
 MIX = 0x9E3779B97F4A7C15
 
@@ -59,6 +65,10 @@ def shingle_hashes(text: str | None, words: WordHashes, shingle: int = SHINGLE)
     return np.unique(out)
 
 
+def digest_of(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def universal(count: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Multiply-shift functions: odd factors and offsets."""
     rng = np.random.default_rng(seed)
@@ -85,25 +95,27 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: i
                 for text in texts.slice(at, 512).to_pylist():
                     h = shingle_hashes(text, words, shingle)
                     size.append(len(h))
-                    cls.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
+                    cls.append(digest_of(h) if len(h) else None)
                     sig.append(minima(h, a, b).astype("<u4").tobytes() if len(h) else None)
                 yield pa.RecordBatch.from_arrays([ids.slice(at, 512), pa.array(cls, pa.binary()), pa.array(size, pa.int64()), pa.array(sig, pa.binary())], names=["doc_id", "class", "n_shingles", "signature"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, class binary, n_shingles long, signature binary")
 
 
+LINKS = "a binary, b binary"
+
+
 def linked(inter, a, b, percent: int):
     return 100 * inter >= percent * (a + b - inter)
 
 
 def confirm(pairs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
-    """Rows a, b, text_a, text_b -> the links among them, on full sets."""
+    """Rows a, b (classes), text_a, text_b -> the links among them, on full sets."""
 
     def run(batches):
         words = WordHashes()
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep, last, last_set = [], None, None
+            a, keep, last, last_set = batch.column(0).to_pylist(), [], None, None
             for i in range(len(a)):
                 if a[i] != last:
                     last, last_set = a[i], shingle_hashes(batch.column(2)[i].as_py(), words, shingle)
@@ -111,12 +123,13 @@ def confirm(pairs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame
                 inter = len(np.intersect1d(last_set, other, assume_unique=True))
                 if linked(inter, len(last_set), len(other), percent):
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, LINKS)
 
 
-def forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def forest(ids: list[bytes], sets: list[np.ndarray], percent: int) -> list[tuple[bytes, bytes]]:
     """A spanning forest of the links among these sets; all intersections are counted."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -149,19 +162,63 @@ def forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[i
     return out
 
 
+def fewest(count: int, percent: int) -> int:
+    """Places in which the signatures of a pair at the threshold agree: six standard deviations below the mean."""
+    s = percent / 100
+    return int(s * count - 6 * (s * (1 - s) * count) ** 0.5)
+
+
+def earlier_bands(x: np.ndarray, y: np.ndarray, band: int, rows: int) -> np.ndarray:
+    """For signatures x and y: whether each pair shares all minima of a band before this one."""
+    out = np.zeros((len(x), len(y)), bool)
+    for k in range(band):
+        same = np.ones_like(out)
+        for i in range(k * rows, (k + 1) * rows):
+            same &= x[:, i, None] == y[None, :, i]
+        out |= same
+    return out
+
+
+def block_members(placed: DataFrame, percent: int, count: int, rows: int) -> DataFrame:
+    """Rows band, key, left, right, class, part, n_shingles, signature (one group: a pair of blocks) -> its members with an agreeing pair."""
+    least = fewest(count, percent)
+
+    def run(key, group):
+        band, left, right = key[0].as_py(), key[2].as_py(), key[3].as_py()
+        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), "<u4").reshape(-1, count)
+        size, part = group.column("n_shingles").to_numpy(), group.column("part").to_numpy()
+        x, y = np.flatnonzero(part == left), np.flatnonzero(part == right)
+        wanted = np.zeros(len(part), bool)
+        for at in range(0, len(x), 128):
+            i = x[at : at + 128]
+            agree = np.zeros((len(i), len(y)), np.uint16)
+            for k in range(count):
+                agree += sig[i, k, None] == sig[None, y, k]
+            ok = (agree >= least) & (100 * np.minimum(size[i, None], size[None, y]) >= percent * np.maximum(size[i, None], size[None, y]))
+            if left == right:
+                ok &= i[:, None] < y[None, :]
+            if band and ok.any():
+                ok &= ~earlier_bands(sig[i], sig[y], band, rows)
+            wanted[i] |= ok.any(1)
+            wanted[y] |= ok.any(0)
+        return group.select(["band", "key", "left", "right", "class"]).filter(pa.array(wanted))
+
+    return placed.groupBy("band", "key", "left", "right").applyInArrow(run, "band int, key long, left int, right int, class binary")
+
+
 def block_links(members: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
-    """Rows bucket, left, right, doc_id, text (one group: a pair of blocks) -> links."""
+    """Rows band, key, left, right, class, text (one group: a pair of blocks) -> links."""
 
     def run(group):
         words = WordHashes()
         ids, sets = [], []
-        for i, text in zip(group.column("doc_id").to_pylist(), group.column("text")):
+        for i, text in zip(group.column("class").to_pylist(), group.column("text")):
             ids.append(i)
             sets.append(shingle_hashes(text.as_py(), words, shingle))
         found = forest(ids, sets, percent)
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+        return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
 
-    return members.groupBy("band", "key", "left", "right").applyInArrow(run, "a long, b long")
+    return members.groupBy("band", "key", "left", "right").applyInArrow(run, LINKS)
 
 
 def components(edges: DataFrame, folder: str, most: int = 40) -> DataFrame:
@@ -196,50 +253,70 @@ def components(edges: DataFrame, folder: str, most: int = 40) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, kept, class.
+    """One row for each row of docs: doc_id, n_shingles, component_id, kept, class, component (its smallest class).
 
-    Links texts with 100 * intersection >= percent * union of their shingle sets. A true link shares no band with a
-    chance of (1 - s**rows)**bands: below 4e-7 at s = 0.85 and 3e-5 at 0.8 for the defaults.
+    Links texts with 100 * intersection >= percent * union of their shingle sets.
     """
-    spark = docs.sparkSession
-    folder = shared_folder(spark)
+    folder, count = shared_folder(docs.sparkSession), bands * rows
     signed = materialize(signatures(docs, bands, rows, shingle), folder, "signed")
     usable = signed.where("class is not null and doc_id is not null")
-    classes = materialize(usable.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("r")).select("class", "r.*"), folder, "classes")
+    classes = usable.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("r")).select("class", "r.*")
+    classes = materialize(classes, folder, "classes")
     width = 4 * rows
-    buckets = classes.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("signature", i * width + 1, F.lit(width))))).alias("band", "key"))
+    buckets = classes.select("class", "n_shingles", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("signature", i * width + 1, F.lit(width))))).alias("band", "key"))
     buckets = materialize(buckets, folder, "buckets")
-    sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
-    met = materialize(buckets.join(sizes, ["band", "key"]), folder, "met")
-    # small buckets: pairs, then signatures, then full sets
+    sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles")).where("members > 1")
+    met = materialize(buckets.drop("n_shingles").join(sizes, ["band", "key"]), folder, "met")
+    sig = classes.select("class", "n_shingles", "signature")
+    # small buckets: pairs, then signatures
     few = met.where(F.col("members") <= small)
-    pairs = few.select("band", "key", F.col("doc_id").alias("a")).join(few.select("band", "key", F.col("doc_id").alias("b")), ["band", "key"]).where("a < b").select("a", "b").distinct()
-    sig = classes.select("doc_id", "n_shingles", "signature")
+    pairs = few.select("band", "key", F.col("class").alias("a")).join(few.select("band", "key", F.col("class").alias("b")), ["band", "key"]).where("a < b").select("a", "b").distinct()
     pairs = pairs.join(sig.toDF("a", "na", "sa"), "a").join(sig.toDF("b", "nb", "sb"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    pairs = materialize(agreeing(pairs, bands * rows, percent), folder, "pairs")
-    crowd = met.where(F.col("members") > small)
-    # the texts of the documents in question, once
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(crowd.select("doc_id")).distinct()
-    wanted = materialize(wanted, folder, "wanted")
-    texts = bloom_split(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", wanted, folder, "wanted_filter")[0].join(wanted, "doc_id")
-    texts = materialize(texts.groupBy("doc_id").agg(F.min("text").alias("text")), folder, "texts")
+    pairs = materialize(agreeing(pairs, count, percent), folder, "pairs")
+    # crowded buckets: pairs of blocks, then signatures
+    parts = F.ceil(F.greatest(F.col("members") / block, F.col("shingles") / (block * LONG))).cast("int")
+    crowd = met.where(F.col("members") > small).select("band", "key", "class", parts.alias("parts"), F.pmod(F.xxhash64("class"), parts).cast("int").alias("part"))
+    placed = crowd.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("band", "key", "class", "part", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"))
+    members = materialize(block_members(placed.join(sig, "class"), percent, count, rows), folder, "members")
+    # the texts of the classes in question, once
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).union(members.select("class")).distinct()
+    wanted = materialize(wanted.join(classes.select("class", "doc_id"), "class"), folder, "wanted")
+    # a doc_id may have several texts: a text is known by its digest there too
+    texts = bloom_split(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", wanted.select("doc_id").distinct(), folder, "wanted_filter")[0]
+    texts = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = materialize(with_class(texts.select("text"), "class", shingle).join(wanted.select("class"), "class", "left_semi").groupBy("class").agg(F.min("text").alias("text")), folder, "texts")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").sortWithinPartitions("a")
-    links = confirm(both, percent, shingle)
-    parts = F.ceil(F.col("members") / block).cast("int")
-    placed = crowd.select("band", "key", "doc_id", parts.alias("parts"), F.pmod(F.xxhash64("doc_id"), parts).cast("int").alias("part"))
-    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("band", "key", "doc_id", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"))
-    links = links.union(block_links(placed.join(texts, "doc_id"), percent, shingle))
-    found = components(links, folder)
-    homes = classes.select("class", F.col("doc_id").alias("node")).join(found, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
+    links = confirm(both, percent, shingle).union(block_links(members.join(texts, "class"), percent, shingle))
+    found = materialize(components(links, folder), folder, "components")
+    # a component is named by its smallest doc_id
+    named = classes.select("class", "doc_id").join(found.toDF("class", "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    linked_ids = named.join(found.select(F.col("component")).distinct(), "component", "left_semi").groupBy("component").agg(F.min("doc_id").alias("least"))
+    homes = named.join(linked_ids, "component", "left").select("class", "component", F.coalesce("least", "doc_id").alias("component_id"))
     out = signed.select("doc_id", "class", "n_shingles").join(homes, "class", "left")
     home = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", home.alias("component_id"), F.coalesce(home == F.col("doc_id"), F.lit(True)).alias("kept"), F.lower(F.hex("class")).alias("class"))
+    named = lambda c: F.lower(F.hex(c)).alias(c)
+    return out.select("doc_id", "n_shingles", home.alias("component_id"), F.coalesce(home == F.col("doc_id"), F.lit(True)).alias("kept"), named("class"), named("component"))
+
+
+def with_class(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
+    """docs plus the class of each text (null without words)."""
+
+    def run(batches):
+        words = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part, found = batch.slice(at, 512), []
+                for text in part.column(part.schema.get_field_index("text")):
+                    h = shingle_hashes(text.as_py(), words, shingle)
+                    found.append(digest_of(h) if len(h) else None)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*part.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def agreeing(pairs: DataFrame, count: int, percent: int) -> DataFrame:
-    """The pairs whose signatures agree in enough places: six standard deviations below the mean at the threshold."""
-    s = percent / 100
-    least = int(s * count - 6 * (s * (1 - s) * count) ** 0.5)
+    """The pairs whose signatures agree in enough places."""
+    least = fewest(count, percent)
 
     def run(batches):
         for batch in batches:
@@ -249,7 +326,7 @@ def agreeing(pairs: DataFrame, count: int, percent: int) -> DataFrame:
             keep = pa.array((a == b).sum(1) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, LINKS)
 
 
 def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
@@ -259,15 +336,23 @@ def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents without near-duplicates of a smaller doc_id, one row of each doc_id; columns as given.
+    """One row of each group of near-duplicates: of its smallest doc_id, and of that id's rows in the group the one with the smallest text; columns as given.
 
-    Only rows whose doc_id may be a removed or a repeated one are shuffled. Rows without doc_id stay.
+    Rows of one doc_id whose texts are in different groups are judged apart. Only rows whose doc_id may be a removed or a
+    repeated one are shuffled. Rows without doc_id stay; of those without words one stays for each doc_id.
     """
-    folder = shared_folder(docs.sparkSession)
-    removed = near_duplicates(docs, percent).where("not kept").select("doc_id", F.lit(True).alias("gone")).distinct()
-    repeated = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id", F.lit(False).alias("gone"))
-    special = materialize(removed.union(repeated).groupBy("doc_id").agg(F.max("gone").alias("gone")), folder, "special")
-    maybe, clear = bloom_split(docs, "doc_id", special.select("doc_id"), folder, "special_filter")
-    kind = docs.schema["doc_id"].dataType
-    maybe = maybe.join(special.select(F.col("doc_id").cast(kind).alias("_id"), "gone"), F.col("doc_id") == F.col("_id"), "left").where("gone is null or not gone").select(docs.columns)
-    return maybe.dropDuplicates(["doc_id"]).unionByName(clear)
+    folder, own = shared_folder(docs.sparkSession), docs.columns
+    groups = materialize(near_duplicates(docs, percent).select("doc_id", "class", "component", "kept"), folder, "groups").where("doc_id is not null")
+    special = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).where("n > 1 or not kept")
+    special = materialize(special, folder, "special")
+    key, cls, kept, row = (fresh_name(x, own) for x in ("key", "class", "kept", "row"))
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    maybe, clear = bloom_split(keyed, key, special.select(F.col("doc_id").alias(key)), folder, "special_filter")
+    marked = maybe.join(special.select(F.col("doc_id").alias(key), F.struct("n", "kept").alias(kept)), key, "left")
+    single = marked.where(f"{kept} is null or ({kept}.n = 1 and {kept}.kept)").select(own)
+    # several rows of an id: one for each group that they lead
+    leads = groups.where("kept").select(F.col("doc_id").alias(key), F.unhex("class").alias(cls), F.coalesce("component", F.lit("")).alias(kept)).distinct()
+    several = with_class(marked.where(f"{kept}.n > 1").drop(kept), cls)
+    several = several.join(leads.withColumnsRenamed({key: f"{key}2", cls: f"{cls}2"}), (F.col(key) == F.col(f"{key}2")) & F.col(cls).eqNullSafe(F.col(f"{cls}2")))
+    first = several.groupBy(key, kept).agg(F.min_by(F.struct(*own), F.coalesce("text", F.lit(""))).alias(row)).select([F.col(row).getField(c).alias(c) for c in own])
+    return single.unionByName(first).unionByName(clear.select(own))
