@@ -36,6 +36,41 @@ def fresh_name(name: str, columns: list[str]) -> str:
     return name
 
 
+def own_name(name: str, columns: list[str]) -> str:
+    """The name of a column that an operator adds: with underscores before it where the input has one of that name."""
+    return name if name.lower() not in {c.lower() for c in columns} else fresh_name(name, columns)
+
+
+def let(value, body):
+    """body of value, which is worked out once however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Elements that scan() takes at once.
+CHUNK = 256
+
+
+def scan(items, zero, carry, emit, empty):
+    """Left to right over an array: emit(state, x) gives an array of outputs, carry(state, x) the state after x.
+
+    Arrays of Spark are copied when something is appended, so a plain aggregate is quadratic. Here the states at the
+    begin of each chunk come first, then each chunk's outputs: n * CHUNK / 2 + (n / CHUNK)**2 / 2 copied elements.
+    """
+    def outputs(chunks):
+        step = lambda acc, c: F.struct(F.aggregate(c, acc["at"], carry).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        states = F.aggregate(chunks, F.struct(zero.alias("at"), F.slice(F.array(zero), 1, 0).alias("out")), step)["out"]
+        inner = lambda acc, x: F.struct(carry(acc["at"], x).alias("at"), F.concat(acc["out"], emit(acc["at"], x)).alias("out"))
+        return let(states, lambda begins: F.flatten(F.zip_with(chunks, begins, lambda c, b: F.aggregate(c, F.struct(b.alias("at"), empty.alias("out")), inner)["out"])))
+
+    return let(items, lambda xs: let(chunked(xs), outputs))
+
+
+def chunked(xs):
+    """An array as arrays of CHUNK elements; one empty array if it has none."""
+    last = F.floor((F.greatest(F.size(xs), F.lit(1)) - 1) / CHUNK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(xs, k * CHUNK + 1, F.lit(CHUNK)))
+
+
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut, and a lost executor costs no recomputation."""
     path = f"{folder}/{name}"

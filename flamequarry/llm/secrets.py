@@ -1,14 +1,16 @@
 """Secret scan: fixed patterns, and character Markov models of random strings against ordinary identifiers. Native.
 
 Two first-order Markov models over the characters of [A-Za-z0-9+/_=-] (all others one further state) are counted, with
-add-``smooth`` smoothing, from labelled samples: digests in hex and base64 on the one side, compounds of ordinary words in
-the usual spellings on the other. A candidate (``least`` or more such characters, a digit and a letter among them) is a secret if its
-log-likelihood ratio per character exceeds ``threshold``. The table of ratios has 66 * 66 entries, so it is a literal.
-Candidates that meet a span of a pattern are left to that.
+add-``smooth`` smoothing, from labelled samples: digests in hex and base64 on the one side; compounds of ordinary words in
+the usual spellings, run-together words of four languages and ruled lines on the other. Every run of ``least`` or more such
+characters is scored; it is a secret if its log-likelihood ratio, which grows with its length, exceeds ``threshold`` nats.
+The table of ratios has 67 * 67 entries, so it is a literal. A run that holds or crosses a pattern's span is added beside it.
 
 Places come from split() and regexp_extract_all(): the lengths of the parts between matches and of the matches give them.
+Work on one text is linear in its length and, but for small terms (see scan()), in its spans.
 
-Nulls: a null text is empty and has no spans. Repeated rows each get a result. Extra columns are kept by find_secrets().
+Nulls: a null text is empty and has no spans. Repeated rows each get a result. Extra columns are kept; where one is called
+secrets, the spans' column is _secrets. Recall of random strings by length: tests/llm/test_operators.py.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import chunked, let, own_name, scan, table
 
 #: The kinds' patterns, in the order in which kinds are listed.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,7 +30,7 @@ HEX = r"[0-9a-f]{16,}"  # the matches of [0-9a-f]+ with 16 characters or more
 KINDS = ["assign", "access", "hex", "markov"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 1
-LEAST, THRESHOLD, SMOOTH, SAMPLES = 20, 0.4, 0.1, 4000
+LEAST, THRESHOLD, SMOOTH, SAMPLES = 12, 12.0, 0.5, 4000
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}"
 MARK = "[SECRET]"
 #: Ordinary words of the identifiers' samples.
@@ -47,24 +49,29 @@ stream string style submit switch symbol sync system table target task temp test
 type unit update upper user util value vector version view visible volume watch weight width window word worker wrap write zone""".split()
 
 
-def spans_of(text, pattern: str, kind: str, least: int = 0):
-    """Array of (start, kind, end) of the pattern's matches, leftmost and not overlapping; least: characters of group 1."""
+#: Common words of English, Spanish, German and French; run together, they stand for the words of prose.
+PROSE = """the and that was for with his had not are but from have they which you were all her she there would their been has when who will more out
+que del los por con una su para como pero sus este entre cuando todo esta ser desde porque donde tiempo mismo ahora cada vida despues muy hasta
+der die und den von das mit sich auf ist nicht ein eine als auch werden aus hat dass sie nach wird bei einer noch wie einem haben oder aber durch wurde schon wenn diese
+les des est dans par sur pas plus sont mais avec son aux elle cette ont ses comme fait leur bien deux meme nous vous tout sans aussi apres avant dont faire moins monde autre""".split()
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
+def spans_of(text, pattern: str, kind: str, counts=lambda m: F.lit(True)):
+    """Array of (start, kind, end) of the pattern's matches, leftmost and not overlapping, of which those count that counts() accepts."""
+    empty = F.array().cast(SPANS)
     parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # the pieces that count: (length before the match, of the match, whether it counts)
-    both = F.zip_with(F.slice(parts, 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), (F.length(F.regexp_extract(m, pattern, 1)) >= least if least else F.lit(True)).alias("ok")))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    both = let(found, lambda ms: F.zip_with(F.slice(parts, 1, F.size(ms)), ms, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), counts(m).alias("ok"))))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        own = F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + x["size"]).alias("end")))
-        return F.struct((start + x["size"]).alias("at"), F.when(x["ok"], F.concat(acc["out"], own)).otherwise(acc["out"]).alias("out"))
+    def emit(at, x):
+        start = at + x["gap"]
+        return F.when(x["ok"], F.array(F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + x["size"]).alias("end")))).otherwise(empty)
 
-    spans = F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), spans).otherwise(empty)
+    return F.when(text.rlike(pattern), scan(both, F.lit(0), lambda at, x: at + x["gap"] + x["size"], emit, empty)).otherwise(empty)
 
 
 def labelled_samples(spark: SparkSession, count: int = SAMPLES) -> DataFrame:
-    """sample, secret: count random strings (half hex, half base64) and as many identifiers; all made from fixed seeds."""
+    """sample, secret: count random strings (half hex, half base64), as many identifiers and words of prose, and ruled lines; all made from fixed seeds."""
     ids = spark.range(count)
     digest = F.sha2(F.concat(F.lit("random string "), F.col("id")), 256)
     random = ids.select(F.when(F.col("id") % 2 == 0, F.substring(digest, 1, 40)).otherwise(F.translate(F.substring(F.base64(F.unhex(digest)), 1, 40), "=", "")).alias("sample"), F.lit(1).alias("secret"))
@@ -74,7 +81,12 @@ def labelled_samples(spark: SparkSession, count: int = SAMPLES) -> DataFrame:
     number = F.pmod(F.xxhash64(F.lit(9), "id"), F.lit(1000)).cast("string")
     forms = [F.concat_ws("_", *w), F.concat(w[0], *[F.initcap(x) for x in w[1:]]), F.concat_ws("-", *w, number), F.concat_ws("/", *w), F.upper(F.concat_ws("_", *w[:4])), F.concat(*[F.initcap(x) for x in w], number)]
     spelled = reduce(lambda rest, k: F.when(F.col("id") % len(forms) == k, forms[k]).otherwise(rest), range(1, len(forms)), forms[0])
-    return random.union(ids.select(spelled.alias("sample"), F.lit(0).alias("secret")))
+    prose = F.split(F.lit(" ".join(PROSE)), " ")
+    said = F.concat(*[F.when(F.pmod(F.xxhash64(F.lit("size"), "id"), F.lit(4)) + 3 > k, F.get(prose, F.pmod(F.xxhash64(F.lit("prose"), F.lit(k), "id"), F.lit(len(PROSE))).cast("int"))).otherwise("") for k in range(6)])
+    said = F.when(F.col("id") % 3 == 0, F.initcap(said)).when(F.col("id") % 9 == 1, F.upper(said)).otherwise(said)
+    ruled = F.repeat(F.substring(F.lit("-=_/+"), (F.col("id") % 5 + 1).cast("int"), F.lit(1)), (F.col("id") % 30 + 12).cast("int"))
+    ordinary = ids.select(spelled.alias("sample")).union(ids.select(said)).union(ids.where("id < 200").select(ruled))
+    return random.union(ordinary.select("sample", F.lit(0).alias("secret")))
 
 
 def state_of(c):
@@ -92,25 +104,20 @@ def train(samples: DataFrame, smooth: float = SMOOTH) -> list[float]:
 
 
 def ratio(token, llr: list[float]):
-    """Log-likelihood ratio per pair of characters of a token."""
+    """Log-likelihood ratio of a token, in nats."""
     weights = F.split(F.lit(",".join(f"{x:.6f}" for x in llr)), ",").cast("array<double>")
     states = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     step = lambda acc, s: F.struct((acc["sum"] + F.when(acc["last"] >= 0, F.get(weights, acc["last"] * STATES + s)).otherwise(0.0)).alias("sum"), s.alias("last"))
-    return F.aggregate(states, F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last")), step)["sum"] / F.greatest(F.lit(1), F.length(token) - 1)
+    return F.aggregate(states, F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("last")), step)["sum"]
 
 
 def find_secrets(docs: DataFrame, llr: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """docs plus secrets: array of (start, kind, end), by start, then kind."""
     llr = llr or train(labelled_samples(docs.sparkSession))
-    text = F.col("_text")
-    df = docs.withColumn("_text", F.coalesce("text", F.lit("")))
-    df = df.withColumn("_base", F.concat(spans_of(text, ASSIGN, "assign", 12), spans_of(text, ACCESS, "access"), spans_of(text, HEX, "hex")))
-    df = df.withColumn("_more", spans_of(text, CANDIDATE, "markov"))
-    apart = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    token = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"])
-    mixed = lambda s: token(s).rlike("[0-9]") & token(s).rlike("[A-Za-z]")
-    df = df.withColumn("_more", F.filter("_more", lambda s: apart(s) & mixed(s) & (ratio(token(s), llr) > threshold)))
-    return df.withColumn("secrets", F.array_sort(F.concat("_base", "_more"))).drop("_text", "_base", "_more")
+    text = F.coalesce("text", F.lit(""))
+    base = [spans_of(text, ASSIGN, "assign", lambda m: F.length(F.regexp_extract(m, ASSIGN, 1)) >= 12), spans_of(text, ACCESS, "access"), spans_of(text, HEX, "hex")]
+    more = spans_of(text, CANDIDATE, "markov", lambda m: ratio(m, llr) > threshold)
+    return docs.withColumn(own_name("secrets", docs.columns), F.array_sort(F.concat(*base, more)))
 
 
 def written(spans):
@@ -124,16 +131,26 @@ def of_kind(kind: str):
 
 def redacted(docs: DataFrame, mark: str = MARK) -> DataFrame:
     """docs with each secret (overlapping spans as one) replaced by a mark; columns as given."""
-    def step(acc, s):
-        gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise("")
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
+    name, text, none = own_name("secrets", docs.columns), F.col("text"), F.array().cast("array<string>")
+    reach = lambda at, s: F.greatest(at, s["end"])
+
+    def pieces(spans, begin):  # of one chunk: cut out of its own stretch of the text
+        def cut(own):
+            step = lambda acc, s: F.struct(reach(acc["at"], s).alias("at"), F.concat(acc["out"], F.when(s["start"] >= acc["at"], F.array(F.concat(F.substring(own, acc["at"] - begin + 1, s["start"] - acc["at"]), F.lit(mark)))).otherwise(none)).alias("out"))
+            return F.aggregate(spans, F.struct(begin.alias("at"), none.alias("out")), step)["out"]
+
+        return let(F.substring(text, begin + 1, F.aggregate(spans, begin, reach) - begin), cut)
+
+    def whole(chunks):
+        step = lambda acc, c: F.struct(F.aggregate(c, acc["at"], reach).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        ends = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step)
+        return let(ends, lambda e: F.concat(F.array_join(F.flatten(F.zip_with(chunks, e["out"], pieces)), ""), F.substring(text, e["at"] + 1, F.length(text))))
 
-    df = find_secrets(docs).withColumn("_cut", F.aggregate("secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step))
-    text = F.when(F.size("secrets") > 0, F.concat("_cut.out", F.substring(F.col("text"), F.col("_cut.at") + 1, F.length("text")))).otherwise(F.col("text"))
-    df = df.withColumn("text", text)
+    found = F.size(name) > 0
+    new = {"text": F.when(found, let(chunked(F.col(name)), whole)).otherwise(text)}
     if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return df.select(docs.columns)
+        new["n_chars"] = F.when(found, F.length(new["text"])).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return find_secrets(docs).select([new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op9_secret_scan(spark, sf_dir: str) -> DataFrame:

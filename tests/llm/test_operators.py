@@ -201,3 +201,51 @@ def test_urls_edges(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages, listed).collect()}
     assert got == {1: ("", "", None, "allow"), 2: ("", "", None, "allow"), 3: ("www.a.net", "/x/", None, "block"), 4: ("a.net", "/x", None, "block"), 5: ("sub.example.org", "/en/123", "example.org/en/1", "block"), 6: ("c.com", "", None, "allow")}
     assert urls.judge(pages, listed.limit(0)).where("listed").count() == 0
+
+
+# --- secrets: the models, long texts, names
+def python_spans(text, llr):
+    """All spans, the models included, one character at a time."""
+    number = {c: i + 1 for i, c in enumerate(secrets.ALPHABET)}
+    out = base_spans(text)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        s = [number[c] for c in m[0]]
+        if len(s) >= 12 and sum(llr[a * secrets.STATES + b] for a, b in zip(s, s[1:])) > secrets.THRESHOLD:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+def test_all_spans_against_brute_force(spark, docs):
+    llr = secrets.train(secrets.labelled_samples(spark))
+    digest = hashlib.sha256(b"a key").hexdigest()
+    rows = docs + [(-1, f"é {digest[:30].upper()} x{digest[:14]} AKIA{digest[:16].upper()}/{digest[20:40]} ------------------------"), (-2, "kJ8sQz1LmN4p aGVsbG8gd29ybGQhISEh")]
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.secrets] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), llr).collect()}
+    assert all(got[i] == python_spans(t or "", llr) for i, t in rows)
+    assert any(k == 3 for _, k, _ in got[-1]) and not any(e - s == 24 for s, _, e in got[-1])
+
+
+def test_markov_recall_by_length(spark):
+    llr = secrets.train(secrets.labelled_samples(spark))
+    digest = F.sha2(F.concat(F.lit("recall"), F.col("id").cast("string")), 256)
+    for size, least in ((12, 0.7), (16, 0.9), (20, 0.95), (32, 0.98)):
+        keys = spark.range(400).select(F.substring(digest if size % 8 else F.base64(F.unhex(digest)), 1, size).alias("s"))
+        assert keys.where(secrets.ratio(F.col("s"), llr) > secrets.THRESHOLD).count() >= least * 400, size
+
+
+def test_many_spans_in_one_text(spark):
+    import time
+
+    one = " ".join(f"{hashlib.md5(str(i).encode()).hexdigest()} get_user_name_{i}" for i in range(100_000))
+    df = spark.createDataFrame([(1, one)], "doc_id long, text string").repartition(1)
+    began = time.time()
+    row = secrets.find_secrets(df).select(F.size(secrets.of_kind("hex")).alias("n"), F.element_at("secrets", -1).alias("last")).first()
+    assert row.n == 100_000 and one[row.last.start : row.last.end] == hashlib.md5(b"99999").hexdigest()
+    text = secrets.redacted(df).first().text
+    assert text == " ".join(f"{secrets.MARK} get_user_name_{i}" for i in range(100_000))
+    assert time.time() - began < 90
+
+
+def test_a_column_named_secrets_is_kept(spark):
+    df = spark.createDataFrame([(1, "token=abcdefghijkl", "mine")], "doc_id long, text string, secrets string")
+    assert secrets.find_secrets(df).columns == ["doc_id", "text", "secrets", "_secrets"]
+    assert [tuple(r) for r in secrets.redacted(df).collect()] == [(1, secrets.MARK, "mine")]
