@@ -1,12 +1,14 @@
 """Quality rules from one text (length, repetition, symbols) and from line frequency across documents. Native: SQL functions only.
 
-Lines are normalised (A-Z lower-cased, white space collapsed, trimmed) and hashed. For each host the distinct documents
-that hold a line are counted; equal texts of a host count once, so copies alone do not make a line frequent. Lines held
-by more than ``limit`` documents of their host are removed, and a document that keeps less than ``depleted`` percent of
-its words is rejected. Counting is two aggregations that combine before the shuffle; the frequent lines meet the
-documents' lines in a shuffle join, so nothing is broadcast and a hot host or line is split by AQE.
-
-``cleaned`` counts families in place of texts: near copies of one another, whatever their number, make no line frequent.
+Lines are normalised (A-Z lower-cased, white space collapsed, trimmed) and hashed. For each host the documents (rows) that
+hold a line are counted. A line is above the limit if more than ``limit`` documents of its host hold it, and more than
+``share`` percent of them, so the limit grows with a host; such lines are removed, and a document that keeps less than
+``depleted`` percent of its words is rejected. Of several documents of a host with equal texts one stays: from that of the
+smallest doc_id, lines go only if more than the limit of different texts hold them. Counting is two aggregations that combine
+before the shuffle; the frequent lines meet the documents' lines in a shuffle join, so nothing is broadcast and a hot host or
+line is split by AQE.
+
+``cleaned`` counts families in place of documents: near copies of one another, whatever their number, make no line frequent.
 Only the documents that hold a line above the limit are compared for that.
 
 Nulls, blank texts: no words, base_failed. A null host is a host of its own. Repeated rows each get their own result.
@@ -18,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, lower_ascii, materialize, shared_folder, table, word_array
+from .common import SPACE, let, lower_ascii, materialize, scan, shared_folder, table, word_array
 from .minhash import near_duplicates
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-LINE_LIMIT, DEPLETED = 20, 20
+LINE_LIMIT, LINE_SHARE, DEPLETED = 20, 1, 20
 FAMILY = 80  # percent of shingles that members of a family share
 MIN_WORDS, MAX_REPEAT = 50, 50
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -59,52 +61,75 @@ def normal_line(line):
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """A row for each distinct normalised line with a word, of each row of docs: row, host, digest, line, words (in all its lines alike)."""
-    lines = docs.select("_row", F.col("source").alias("host"), F.xxhash64("text").alias("digest"), F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("l"))
-    lines = lines.select("_row", "host", "digest", normal_line(F.col("l")).alias("l")).where("l <> ''")
-    return lines.select("_row", "host", "digest", F.xxhash64("l").alias("line"), (F.length("l") - F.length(F.translate("l", " ", "")) + 1).cast("long").alias("words"))
+    """A row for each normalised line with a word, of each row of docs: row, host, digest, doc_id, line, words, first (of equal lines of the row)."""
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), normal_line), lambda x: x != "")
+    found = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).cast("long").alias("words")))
+    marked = let(F.sort_array(found), lambda s: F.transform(s, lambda x, i: F.struct(x["line"].alias("line"), x["words"].alias("words"), ((i == 0) | (F.get(s, i - 1)["line"] != x["line"])).cast("int").alias("first"))))
+    return docs.select("_row", F.col("source").alias("host"), F.xxhash64("text").alias("digest"), "doc_id", F.explode(marked).alias("x")).select("_row", "host", "digest", "doc_id", "x.*")
+
+
+def frequent_lines(lines: DataFrame, hosts: DataFrame, limit: int, share: int, families: bool) -> DataFrame:
+    """fhost, fline, always of the lines above the limit; always: whether that holds for different texts (digests) too."""
+    counts = lines.groupBy("host", "line", "digest").agg(F.sum("first").alias("documents")).groupBy("host", "line").agg(F.sum("documents").alias("documents"), F.count("*").alias("texts"))
+    counts = counts.where(F.col("documents") > limit).join(hosts, F.col("host").eqNullSafe(F.col("h")))
+    above = lambda c: (F.col(c) > limit) & (100 * F.col(c) > share * F.col("size"))
+    counts = counts.where(above("texts" if families else "documents"))
+    return counts.select(F.col("host").alias("fhost"), F.col("line").alias("fline"), above("texts").alias("always"))
 
 
-def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
-    """host, line of the lines that more than limit distinct texts of a host hold."""
-    return lines.groupBy("host", "line", "digest").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > limit)
+def held(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    return lines.join(frequent, lines.host.eqNullSafe(F.col("fhost")) & (lines.line == F.col("fline"))).drop("fhost", "fline")
 
 
-def by_family(docs: DataFrame, lines: DataFrame, limit: int, folder: str) -> DataFrame:
+def by_family(docs: DataFrame, lines: DataFrame, hosts: DataFrame, limit: int, share: int, folder: str) -> DataFrame:
     """lines of the documents with a line above the limit, with their family's number (where they have shingles) as digest."""
-    frequent = frequent_lines(lines, limit).select(F.col("host").alias("fhost"), F.col("line").alias("fline"))
-    holders = materialize(lines.join(frequent, lines.host.eqNullSafe(F.col("fhost")) & (lines.line == F.col("fline")), "left_semi"), folder, "holders")
+    holders = materialize(held(lines, frequent_lines(lines, hosts, limit, share, True)).drop("always"), folder, "holders")
     texts = docs.select("_row", "text").join(holders.select("_row").distinct(), "_row", "left_semi").dropDuplicates(["_row"])
     texts = materialize(texts.select(F.col("_row").alias("doc_id"), "text"), folder, "holders_texts")
     families = near_duplicates(texts, FAMILY).where("class is not null").select(F.col("doc_id").alias("_row"), "component_id")
     return holders.join(families, "_row", "left").withColumn("digest", F.coalesce("component_id", "digest")).drop("component_id")
 
 
-def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED, families: bool = False) -> DataFrame:
+def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED, families: bool = False, share: int = LINE_SHARE) -> DataFrame:
     """docs with the base measures, removed (hashes of its lines above the limit), n_removed_words, kept; families: near copies count once."""
     folder = shared_folder(docs.sparkSession)
-    docs = docs.withColumn("_row", F.xxhash64("doc_id", "text", "source"))
+    given = ("doc_id", "text", "source")
+    docs = docs.withColumn("_row", F.xxhash64(*given, *[F.col(c).isNull() for c in given]))
     lines = materialize(line_table(docs), folder, "lines")
-    counted = by_family(docs, lines, limit, folder) if families else lines
-    frequent = frequent_lines(counted, limit).select(F.col("host").alias("fhost"), "line")
-    gone = lines.join(frequent, (lines.host.eqNullSafe(frequent.fhost)) & (lines.line == frequent.line), "left_semi")
+    hosts = docs.groupBy(F.col("source").alias("h")).agg(F.count("*").alias("size"))
+    counted = by_family(docs, lines, hosts, limit, share, folder) if families else lines
+    gone = held(lines, frequent_lines(counted, hosts, limit, share, families))
+    if not families:
+        copies = docs.groupBy(F.col("source").alias("h"), F.xxhash64("text").alias("d")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+        gone = gone.join(copies, gone.host.eqNullSafe(F.col("h")) & (gone.digest == F.col("d")), "left")
+        first = F.col("n").isNull() | F.col("doc_id").eqNullSafe(F.col("least"))
+        gone = gone.where(F.col("always") | ~first)
     # equal rows share _row: their lines are counted once
-    gone = gone.groupBy("_row", "line").agg((F.sum("words") / F.count("*")).alias("each"), F.count("*").alias("rows"))
     repeats = docs.groupBy("_row").agg(F.count("*").alias("copies"))
-    gone = gone.groupBy("_row").agg(F.sum(F.col("each") * F.col("rows")).alias("all_words"), F.collect_list("line").alias("removed")).join(repeats, "_row").select("_row", (F.col("all_words") / F.col("copies")).cast("long").alias("n_removed_words"), "removed")
+    gone = gone.groupBy("_row").agg(F.sum("words").alias("all_words"), F.collect_set("line").alias("removed")).join(repeats, "_row").select("_row", (F.col("all_words") / F.col("copies")).cast("long").alias("n_removed_words"), "removed")
     out = base_measures(docs.drop("n_removed_words", "removed", "kept")).join(gone, "_row", "left").drop("_row")
     out = out.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long"))).withColumn("removed", F.coalesce("removed", F.array().cast("array<bigint>")))
     enough = 100 * (F.col("n_words") - F.col("n_removed_words")) >= depleted * F.col("n_words")
     return out.withColumn("kept", ~F.col("base_failed") & enough)
 
 
+def without_lines(text, removed):
+    """text without the lines whose hash is in removed: both sorted together, so no line is compared with all of them."""
+    kind = "array<struct<pos:int,line:string>>"
+    own = F.transform(F.split(text, "\n"), lambda x, i: F.struct(F.xxhash64(normal_line(x)).alias("h"), F.lit(1).alias("own"), i.alias("pos"), x.alias("line")))
+    other = F.transform(removed, lambda h: F.struct(h.alias("h"), F.lit(0).alias("own"), F.lit(-1).alias("pos"), F.lit("").alias("line")))
+    empty = F.array().cast(kind)
+    emit = lambda at, x: F.when((x["own"] == 1) & ~at.eqNullSafe(x["h"]), F.array(F.struct(x["pos"].alias("pos"), x["line"].alias("line")))).otherwise(empty)
+    kept = scan(F.sort_array(F.concat(other, own)), F.lit(None).cast("long"), lambda at, x: F.when(x["own"] == 0, x["h"]).otherwise(at), emit, empty)
+    return F.array_join(F.transform(F.sort_array(kept), lambda x: x["line"]), "\n")
+
+
 def cleaned(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED) -> DataFrame:
     """The documents kept, their frequent lines removed; columns as given."""
     folder, others = shared_folder(docs.sparkSession), [c for c in docs.columns if c not in ("doc_id", "text", "source")]
     packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("_given"))
     out = materialize(judged(packed, limit, depleted, families=True), folder, "judged").where("kept")
-    text = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("removed", F.xxhash64(normal_line(x)))), "\n")
-    out = out.withColumn("text", F.when(F.size("removed") > 0, text).otherwise(F.col("text")))
+    out = out.withColumn("text", F.when(F.size("removed") > 0, without_lines(F.col("text"), F.col("removed"))).otherwise(F.col("text")))
     given = {c: F.col("_given").getField(c) for c in others}
     if "n_chars" in given:
         given["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -127,8 +152,12 @@ nw AS (SELECT r, count(*) AS n FROM w GROUP BY r),
 l AS (SELECT r, source, text, unnest(string_split(coalesce(text, ''), chr(10))) AS l FROM d),
 dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM l WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
 nl AS (SELECT r, source, text, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS l FROM l),
-f AS (SELECT source, l FROM nl WHERE l <> '' GROUP BY source, l HAVING count(DISTINCT text) > {limit}),
-g AS (SELECT r, sum(length(nl.l) - length(replace(nl.l, ' ', '')) + 1) AS n FROM nl JOIN f ON nl.l = f.l AND nl.source IS NOT DISTINCT FROM f.source GROUP BY r),
+h AS (SELECT source, count(*) AS size FROM d GROUP BY source),
+first AS (SELECT source, text, min(doc_id) AS least FROM d GROUP BY source, text),
+f AS (SELECT nl.source, l, any_value(size) AS size, count(DISTINCT r) AS documents, count(DISTINCT text) AS texts FROM nl JOIN h ON nl.source IS NOT DISTINCT FROM h.source WHERE l <> '' GROUP BY nl.source, l),
+g AS (SELECT nl.r, sum(length(nl.l) - length(replace(nl.l, ' ', '')) + 1) AS n FROM nl JOIN d ON nl.r = d.r JOIN first ON d.source IS NOT DISTINCT FROM first.source AND d.text IS NOT DISTINCT FROM first.text
+  JOIN f ON nl.l = f.l AND nl.source IS NOT DISTINCT FROM f.source
+  WHERE documents > {limit} AND 100 * documents > {share} * size AND (d.doc_id IS DISTINCT FROM least OR (texts > {limit} AND 100 * texts > {share} * size)) GROUP BY nl.r),
 m AS (SELECT d.*, coalesce(nw.n, 0) AS n_words,
   length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
   length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS n_symbols,
@@ -139,4 +168,4 @@ judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
 
 
 def op3_sql() -> str:
-    return "WITH " + JUDGED_SQL.format(docs="documents", limit=LINE_LIMIT, depleted=DEPLETED) + "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words, kept FROM judged"
+    return "WITH " + JUDGED_SQL.format(docs="documents", limit=LINE_LIMIT, share=LINE_SHARE, depleted=DEPLETED) + "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words, kept FROM judged"
