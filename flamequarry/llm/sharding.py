@@ -4,26 +4,29 @@ append() writes an arrival as small immutable Parquet shards and commits a manif
 compact() puts shards below the target into tiers by the power of ``fan_in`` that their size reaches; a tier with
 ``fan_in`` shards or more is rewritten by one job in which Spark's file packing joins whole shards to partitions of the
 target's size: no shuffle, no task above the target, every row read and written once a tier. vacuum() deletes shards
-that only older manifests list.
+that only older manifests list, and files of no manifest (of writers that failed) after a day.
 
 A manifest is a JSON file, written beside its place and renamed there by a call that fails if the version exists:
-readers see a whole version or none, and of two writers one has to start over. Shards are never changed. The driver
-holds file names and sizes only.
+readers see a whole version or none, and of two writers one has to start over. That needs a file system whose rename is
+atomic (HDFS, POSIX); on an object store without it, writers need a lock of their own. Shards are never changed. The driver
+holds file names and sizes only, as it does for any Spark read of these files (100 TB in shards of 128 MB: 800,000 names).
 
-Any columns and types that Parquet takes are kept as they are, nulls, empty texts and repeated rows included. An empty
+Any columns and types that Parquet takes are kept as they are, nulls, empty texts and repeated rows included; read()'s own
+columns get underscores before names that the rows have. An empty
 arrival commits a version without new shards; reading a store without shards gives an empty frame of the given schema.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import shared_folder, table
+from .common import own_name, shared_folder, table
 
 TARGET_BYTES, FAN_IN = 128 << 20, 4
 ARRIVALS = 4
@@ -131,26 +134,45 @@ class ShardStore:
             for k, v in before.items():
                 conf.unset(k) if v is None else conf.set(k, v)
 
-    def vacuum(self) -> int:
-        """Deletes the shards that the newest manifest does not list; returns how many."""
-        kept = {s["path"] for s in self.manifest()["shards"]}
-        gone = {s["path"] for v in self.versions()[:-1] for s in self.manifest(v)["shards"]} - kept
-        for p in gone:
-            path = self._path(p)
-            self._system(path).delete(path, False)
-        return len(gone)
+    def _files(self) -> dict[str, int]:
+        """Files of the shards' folder, by name below it, with their times of change (ms)."""
+        path, out = self._path(f"{self.root}/shards"), {}
+        fs = self._system(path)
+        if fs.exists(path):
+            found = fs.listFiles(path, True)
+            while found.hasNext():
+                f = found.next()
+                out[f.getPath().toString()] = f.getModificationTime()
+        return out
+
+    def vacuum(self, orphan_ms: int = 86_400_000) -> int:
+        """Deletes the shards that the newest manifest does not list, and files of no manifest older than orphan_ms; returns how many."""
+        newest = self.manifest()
+        short = lambda p: p.rsplit("/shards/", 1)[1]
+        kept = {short(s["path"]) for s in newest["shards"]}
+        older = [f"{self.root}/manifests/v{v:08d}.json" for v in self.versions() if v < newest["version"]]
+        listed = {short(r[0]) for r in self.spark.read.schema(_SHARDS).json(older).select(F.explode("shards.path")).distinct().toLocalIterator()} if older else set()
+        now, gone = time.time() * 1000, 0
+        for p, changed in self._files().items():
+            name = short(p)
+            if name not in kept and (name in listed or now - changed > orphan_ms):
+                path = self._path(p)
+                gone += self._system(path).delete(path, False)
+        return gone
 
     def read(self, schema: StructType, version: int | None = None) -> DataFrame:
         """The rows of a version, with shard (its path), shard_bytes, tier and version."""
         m = self.manifest(version)
         paths = [s["path"] for s in m["shards"]]
+        own = {c: own_name(c, schema.names) for c in ("shard", "shard_bytes", "tier", "version")}
         if not paths:
-            return self.spark.createDataFrame([], schema).select("*", F.lit("").alias("shard"), F.lit(0).cast("long").alias("shard_bytes"), F.lit(0).alias("tier"), F.lit(m["version"]).cast("long").alias("version"))
-        listed = self.spark.read.schema(_SHARDS).json(f"{self.root}/manifests/v{m['version']:08d}.json").select("version", F.explode("shards").alias("s"))
-        listed = listed.select("version", F.col("s.path").alias("_path"), F.col("s.tier").alias("tier"))
-        rows = self.spark.read.schema(schema).parquet(*paths).select("*", F.col("_metadata.file_path").alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"))
+            return self.spark.createDataFrame([], schema).select("*", F.lit("").alias(own["shard"]), F.lit(0).cast("long").alias(own["shard_bytes"]), F.lit(0).alias(own["tier"]), F.lit(m["version"]).cast("long").alias(own["version"]))
         name = lambda c: F.regexp_extract(c, "shards/(.*)$", 1)  # noqa: E731  one name, however the store writes its paths
-        return rows.withColumn("shard", name(F.col("shard"))).join(listed.withColumn("_path", name(F.col("_path"))), F.col("shard") == F.col("_path")).drop("_path")
+        listed = self.spark.read.schema(_SHARDS).json(f"{self.root}/manifests/v{m['version']:08d}.json").select("version", F.explode("shards").alias("s"))
+        listed = listed.select(name(F.col("s.path")).alias("path"), F.col("s.tier").alias("tier"), "version")
+        rows = self.spark.read.schema(schema).parquet(*paths).select(F.struct(*schema.names).alias("given"), name(F.col("_metadata.file_path")).alias("shard"), F.col("_metadata.file_size").alias("shard_bytes"))
+        rows = rows.join(listed, F.col("shard") == F.col("path"))
+        return rows.select(*[F.col("given").getField(c).alias(c) for c in schema.names], *[F.col(c).alias(n) for c, n in own.items()])
 
 
 def op2_sharding(spark, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ The filter is a table of 256-bit blocks (four longs); a URL sets eight bits of o
 list needs at ``bits`` bits a URL. Up to ``broadcast_blocks`` blocks it is broadcast (40 bytes each), beyond that it is
 joined by block number. URLs that pass are joined to the list itself, so false positives cost a shuffle row and nothing else.
 
+Columns of the pages are kept as they are; a column of ours whose name they have gets underscores before its name.
 Nulls and strings without ``://`` have empty host and path, fit no rule and no listed URL. Repeated rows each get a result.
 """
 
@@ -14,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOOM_BITS, bloom_filter, bloom_fits, bloom_place, lower_ascii, materialize, shared_folder, table
+from .common import BLOOM_BITS, bloom_filter, bloom_fits, bloom_place, lower_ascii, materialize, own_name, shared_folder, table
 
 #: The query's rules (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -55,15 +56,16 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BLOOM_BI
     bloom = materialize(bloom, folder, "bloom")
     if blocks <= broadcast_blocks:
         bloom = F.broadcast(bloom)
-    own = pages.columns
-    df = pages.withColumns(parts(F.col("url")))
+    df = pages.select(F.struct(*pages.columns).alias("given")).withColumns(parts(F.col("given.url")))
     df = ruled(df.withColumn("canonical", canonical(F.col("host"), F.col("path"), F.col("query"))).drop("query"), rules)
     df = df.withColumns(bloom_place(F.coalesce("canonical", F.lit("")), blocks)).join(bloom, "block", "left")
     df = df.withColumn("possible", F.coalesce(bloom_fits() & F.col("canonical").isNotNull(), F.lit(False)))
-    kept = [*own, "host", "path", "canonical", "rule", "rule_verdict", "possible"]
+    kept = ["given", "host", "path", "canonical", "rule", "rule_verdict", "possible"]
     hits = df.where("possible").select(kept).join(listed.withColumn("listed", F.lit(True)), "canonical", "left")
     df = df.where("not possible").select(*kept, F.lit(False).alias("listed")).unionByName(hits.select(*kept, F.coalesce("listed", F.lit(False)).alias("listed")))
-    return df.withColumn("verdict", F.coalesce("rule_verdict", F.when(F.col("listed"), "block").otherwise("allow"))).drop("rule_verdict")
+    df = df.withColumn("verdict", F.coalesce("rule_verdict", F.when(F.col("listed"), "block").otherwise("allow")))
+    added = ["host", "path", "canonical", "rule", "possible", "listed", "verdict"]
+    return df.select(*[F.col("given").getField(c).alias(c) for c in pages.columns], *[F.col(c).alias(own_name(c, pages.columns)) for c in added])
 
 
 def op6_url_filter(spark, sf_dir: str) -> DataFrame:

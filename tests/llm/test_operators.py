@@ -249,3 +249,39 @@ def test_a_column_named_secrets_is_kept(spark):
     df = spark.createDataFrame([(1, "token=abcdefghijkl", "mine")], "doc_id long, text string, secrets string")
     assert secrets.find_secrets(df).columns == ["doc_id", "text", "secrets", "_secrets"]
     assert [tuple(r) for r in secrets.redacted(df).collect()] == [(1, secrets.MARK, "mine")]
+
+
+def test_urls_keep_columns_of_their_names(spark):
+    names = ["host", "path", "rule", "canonical", "possible", "listed", "verdict", "block"]
+    pages = spark.createDataFrame([(1, "http://a.net/x", *names)], "page_id long, url string, " + ", ".join(f"`{n}` string" for n in names))
+    r = urls.judge(pages, spark.createDataFrame([("a.net/x",)], "canonical string")).first()
+    assert [r[n] for n in names] == names and (r["_host"], r["_path"], r["_listed"], r["_verdict"]) == ("a.net", "/x", True, "block")
+
+
+def test_shards_keep_columns_of_their_names(spark, tmp_path):
+    store = sharding.ShardStore(spark, str(tmp_path / "store"), target_bytes=1 << 16, fan_in=2)
+    df = spark.createDataFrame([(1, "s", 5, "v", None)], "doc_id long, shard string, tier int, version string, text string")
+    store.append(df)
+    r = store.read(df.schema).first()
+    assert (r.shard, r.tier, r.version, r.text, r["_version"]) == ("s", 5, "v", None, 1)
+    (tmp_path / "store/shards/left-over").mkdir(parents=True)
+    (tmp_path / "store/shards/left-over/part-0.parquet").write_bytes(b"x")
+    assert store.vacuum() == 0 and store.vacuum(orphan_ms=-60_000) >= 1 and store.read(df.schema).count() == 1
+
+
+def test_sharding_query_holds_every_document(spark):
+    got = QUERIES["op2_sharding"](spark, SF).collect()
+    own = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    digest = lambda t: None if t is None else hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r.doc_id, r.text_sha256 or "") for r in got) == sorted((i, digest(t) or "") for i, t in own)
+    assert len({r.version for r in got}) == 1 and all(r.n_chars == (None if t is None else len(t)) for r, t in zip(sorted(got, key=lambda r: r.doc_id), [t for _, t in sorted(own)]))
+    assert len({r.shard for r in got}) < sharding.ARRIVALS  # compacted
+
+
+def test_chat_null_turn_comes_first(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 0, "user", "u"), (1, None, "assistant", "first"), (2, 1, None, None)], "conv_id long, turn long, role string, text string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    result = duckdb.sql(chat.op4_sql())
+    df = chat.op4_chat_format(spark, str(tmp_path))
+    assert sorted(tuple(r[c] for c in result.columns) for r in df.collect()) == sorted(result.fetchall())
