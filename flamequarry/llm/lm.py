@@ -7,7 +7,7 @@ its class, and each of its tokens a vector and a bias of its own, normalised ove
 known tokens and of one unknown token sum to one. As context, a token of the tail is its class.
 
 * Counts: every training token, one aggregation that combines before the shuffle. The head is a top-k of it; it has ``OUTPUTS``
-  tokens, and more (the square root of the distinct ones, as a power of two) for a vocabulary beyond four million.
+  tokens, and more (the square root of the distinct ones, as a power of two) for a vocabulary beyond a million.
 * Coding: one pass turns texts into packed output numbers and packs the tail's places by token; later passes read these.
 * Tail: each occurrence goes to its group in one shuffle; the group's task counts, trains (one pass over the training
   documents' occurrences, softmax over the group) and scores. A group holds no token of the head, which bounds it.
@@ -27,7 +27,9 @@ from __future__ import annotations
 
 import math
 import zlib
-from itertools import chain, repeat
+from array import array
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +37,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, materialize, shared_folder, table, word_array
+from .common import materialize, shared_folder, table
 
-END = "\n"  # no word holds it
-OUTPUTS, WIDTH, NOISE, BATCH, RATE = 2048, 24, 32, 1024, 0.2
-SHARD, FAN, KEPT = 1 << 22, 16, 1 << 22
-HEAD_CLASS, GROUP, TAIL_BATCH, TAIL_RATE, PLACES = 64, 256, 256, 2.0, 1 << 20
+OUTPUTS, WIDTH, NOISE, BATCH, RATE = 1024, 24, 32, 1024, 0.2
+SHARD, FAN, KEPT, DISTINCT = 1 << 22, 16, 1 << 22, 1 << 18
+HEAD_CLASS, GROUP, TOGETHER, TAIL_BATCH, TAIL_RATE, PLACES = 64, 128, 8, 256, 1.0, 1 << 20
 
 
 def held_out(doc_id):
@@ -52,8 +53,24 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    words = F.explode(F.concat(word_array(lower_ascii(F.col("text"))), F.array(F.lit(END))))
-    return docs.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    """word, c: a task adds up its own tokens, as many distinct ones as DISTINCT at a time, before the shuffle."""
+
+    def run(batches):
+        own: Counter = Counter()
+
+        def flush():
+            batch = pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()).cast(pa.string()), pa.array(list(own.values()), pa.int64())], names=["word", "c"])
+            own.clear()
+            return batch
+
+        for batch in batches:
+            for text in batch.column(0):
+                own.update(tokens_of(text.as_py()))
+                if len(own) > DISTINCT:
+                    yield flush()
+        yield flush()
+
+    return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class Vocabulary:
@@ -101,24 +118,51 @@ class Coder:
         self.kind = "<u4" if self.outputs < 1 << 16 else "<u8"  # of a pair of contexts
 
     def part_of(self, word: bytes) -> int:
-        """The group of a token of the tail: those of a class are neighbours."""
+        """The group of a token of the tail: those of a class are neighbours. TOGETHER groups are one task's."""
         h = zlib.crc32(word)
         return h % self.classes * self.groups + h // self.classes % self.groups
 
     def outputs_of(self, words: list[bytes]) -> np.ndarray:
-        out = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        for i in np.flatnonzero(out < 0).tolist():
-            out[i] = zlib.crc32(words[i]) % self.classes
-        return out
+        return np.array([self.number[w] if w in self.number else zlib.crc32(w) % self.classes for w in words], np.int64)
+
+
+def id_kind(outputs: int) -> str:
+    return "<u2" if outputs < 1 << 16 else "<u4"
+
+
+class Numbers(dict):
+    """Own numbers of the words that a task meets, with the output of each."""
+
+    def __init__(self, coder: Coder):
+        self.coder, self.words, self.outputs = coder, [], array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        out = self.coder.number.get(word)
+        n = self[word] = len(self.words)
+        self.words.append(word)
+        self.outputs.append(zlib.crc32(word) % self.coder.classes if out is None else out)
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+def before(w: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The outputs one and two places before each of w, in texts that begin at starts (none is empty); an end comes before a text."""
+    c1, c2 = np.concatenate([[end], w[:-1]]), np.concatenate([[end, end], w[:-2]])[: len(w)]
+    c1[starts] = end
+    c2[starts] = end
+    second = starts + 1
+    c2[second[second < len(w)]] = end
+    return c1, c2
 
 
 def contexts(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the outputs of texts (each closed by end): the two before each token and the token; an end comes before a text."""
+    """For the outputs of texts (each closed by end): the two before each token and the token."""
     if not texts:
         return (np.empty(0, np.int64),) * 3
-    first = [np.concatenate([[end], t[:-1]]) for t in texts]
-    second = [np.concatenate([[end, end], t[:-2]])[: len(t)] for t in texts]
-    return np.concatenate(first), np.concatenate(second), np.concatenate(texts)
+    w, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+    return *before(w, np.cumsum(sizes) - sizes, end), w
 
 
 def start(vocabulary: Vocabulary, width: int = WIDTH, seed: int = 1) -> np.ndarray:
@@ -183,7 +227,7 @@ def train_round(coded: DataFrame, v: Vocabulary, params: np.ndarray, shards: int
         ids, texts = group.column("doc_id").to_pylist(), group.column("ids").to_pylist()
         trainer, held, size = Trainer(p, unigram, part), [], 0
         for i in sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i])):
-            held.append(np.frombuffer(texts[i], "<u4").astype(np.int64))
+            held.append(np.frombuffer(texts[i], id_kind(len(unigram))).astype(np.int64))
             size += len(held[-1])
             if size >= 1 << 18:
                 fit(trainer, held, end)
@@ -223,7 +267,7 @@ class Scorer:
 
     def __init__(self, params: np.ndarray):
         self.q1, self.q2, self.r, self.b = views(params)
-        self.places = min(len(self.b) ** 2, KEPT)
+        self.outputs, self.places = len(self.b), min(len(self.b) ** 2, KEPT)
         self.key, self.log_z = np.full(self.places, -1, np.int64), np.zeros(self.places, np.float32)
 
     def normalisers(self, key: np.ndarray) -> np.ndarray:
@@ -255,23 +299,23 @@ CODED_TYPE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out"
 class Places:
     """The places of tokens of the tail in a task's documents, packed by token once there are PLACES of them."""
 
-    def __init__(self, coder: Coder, home: int):
-        self.v, self.home = coder, home
+    def __init__(self, coder: Coder, numbers: Numbers, home: int):
+        self.v, self.numbers, self.home = coder, numbers, home
         self.clear()
 
     def clear(self) -> None:
-        self.number, self.words, self.docs, self.contexts, self.size = {}, [], [], [], 0
+        self.words, self.docs, self.contexts, self.size = [], [], [], 0
 
-    def add(self, words: list[bytes], docs: np.ndarray, contexts: np.ndarray) -> None:
-        """docs: twice the document's number in the task, and one if it is held out; contexts: c1 * outputs + c2."""
-        number = self.number
-        self.words.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+    def add(self, words: np.ndarray, docs: np.ndarray, contexts: np.ndarray) -> None:
+        """words: the task's own numbers; docs: twice the document's number in the task, and one if it is held out; contexts: c1 * outputs + c2."""
+        self.words.append(words)
         self.docs.append(docs.astype("<u4"))
         self.contexts.append(contexts.astype(self.v.kind))
         self.size += len(words)
 
     def packed(self):
-        w, docs, contexts, words = np.concatenate(self.words), np.concatenate(self.docs), np.concatenate(self.contexts), list(self.number)
+        found, w = np.unique(np.concatenate(self.words), return_inverse=True)
+        docs, contexts, words = np.concatenate(self.docs), np.concatenate(self.contexts), [self.numbers.words[i] for i in found.tolist()]
         order, ends = np.argsort(w, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(w, minlength=len(words)))])
 
         def pack(x):
@@ -294,26 +338,31 @@ def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
         plain, end = sent.value
         v, home, n = Coder(*plain), TaskContext.get().partitionId(), 0
-        places = Places(v, home)
+        numbers = Numbers(v)
+        places = Places(v, numbers, home)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 words = [tokens_of(text.as_py()) for text in part.column(2)]
-                outs = [v.outputs_of(w) for w in words]
-                c1, c2, w = contexts(outs, end)
-                sizes = np.array([len(o) for o in outs])
+                sizes = np.fromiter(map(len, words), np.int64, len(words))
                 starts = np.cumsum(sizes) - sizes
+                own = numbers.of(list(chain.from_iterable(words)))
+                w = np.frombuffer(numbers.outputs, np.int64)[own]
+                c1, c2 = before(w, starts, end)
                 tail = w < v.first
                 i = np.flatnonzero(tail)
-                flat = list(chain.from_iterable(words))
                 held = np.array(part.column(1).to_pylist(), bool)
-                places.add([flat[k] for k in i.tolist()], np.repeat(2 * (n + np.arange(len(words))) + held, sizes)[i], c1[i] * v.outputs + c2[i])
+                places.add(own[i], np.repeat(2 * (n + np.arange(len(words))) + held, sizes)[i], c1[i] * v.outputs + c2[i])
                 total = lambda x: pa.array(np.add.reduceat(x, starts))
-                columns = {"row": pa.array((home << 40) + n + np.arange(len(words))), "doc_id": part.column(0), "held_out": part.column(1), "n_tokens": pa.array(sizes.astype(np.int64)), "n_head": total((~tail).astype(np.int64)), "base": total(v.log_c[w]), "ids": pa.array([o.astype("<u4").tobytes() for o in outs], pa.binary())}
+                packed = pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.array((np.concatenate([starts, [len(w)]]) * np.dtype(id_kind(v.outputs)).itemsize).astype(np.int32)).buffers()[1], pa.py_buffer(w.astype(id_kind(v.outputs)).tobytes())])
+                columns = {"row": pa.array((home << 40) + n + np.arange(len(words))), "doc_id": part.column(0), "held_out": part.column(1), "n_tokens": pa.array(sizes), "n_head": total((~tail).astype(np.int64)), "base": total(v.log_c[w]), "ids": packed}
                 n += len(words)
                 yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in CODED_TYPE], schema=CODED_TYPE)
-                if places.size >= PLACES:
-                    yield from places.packed()
+                if places.size >= PLACES or len(numbers.words) > DISTINCT:
+                    if places.size:
+                        yield from places.packed()
+                    if len(numbers.words) > DISTINCT:
+                        numbers = places.numbers = Numbers(v)
         if places.size:
             yield from places.packed()
 
@@ -334,7 +383,7 @@ def scored(rows: DataFrame, params: np.ndarray, end: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                outs = [np.frombuffer(x.as_py(), "<u4").astype(np.int64) for x in part.column("ids")]
+                outs = [np.frombuffer(x.as_py(), id_kind(scorer.outputs)).astype(np.int64) for x in part.column("ids")]
                 sizes = np.array([len(o) for o in outs])
                 s = np.add.reduceat(scorer.score(*contexts(outs, end)), np.cumsum(sizes) - sizes)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in DOCUMENT), pa.array(s / math.log(10))], names=[*DOCUMENT, "model"])
@@ -363,46 +412,57 @@ def group_probabilities(q, r, b) -> np.ndarray:
     return s / s.sum(1, keepdims=True)
 
 
+def group_scores(part: int, own: int, w: np.ndarray, train: np.ndarray, context: np.ndarray, q: np.ndarray, counts: np.ndarray, mass: np.ndarray, rate: float, model: np.ndarray) -> None:
+    """Trains a group on its training occurrences and writes the log-probabilities of all its known ones within the class. w: its tokens' numbers from 0."""
+    number = np.cumsum(counts > 0) - 1
+    c = counts[counts > 0]
+    k, at = number[w], np.flatnonzero(counts[w] > 0)
+    first = np.flatnonzero(train)
+    first = first[np.lexsort((context[first], k[first]))]  # whatever the order of the rows
+    r, b = fit_group(q[first], k[first], c, np.random.default_rng(part), rate)
+    share = math.log((c + 0.5).sum() / mass[own])
+    for i in range(0, len(at), 4096):
+        j = at[i : i + 4096]
+        s = q[j] @ r.T + b
+        top = s.max(1)
+        model[j] = share + s[np.arange(len(j)), k[j]] - top - np.log(np.exp(s - top[:, None]).sum(1))
+
+
 def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) -> DataFrame:
     """For each document with tokens of the tail: sums over them of the base, of the model beyond their class, and the number known."""
     sent = rows.sparkSession.sparkContext.broadcast((params, vocabulary.mass, vocabulary.groups, vocabulary.unknown, TAIL_RATE))
 
-    def run(key, group):
+    def run(group):
         params, mass, groups, unknown, rate = sent.value
         q1, q2, output_r, output_b = views(params)
-        part = key[0].as_py()
-        own = part // groups
-        words = pc.unique(group.column("word")).sort()
         kind = "<u4" if len(output_b) < 1 << 16 else "<u8"
         joined = lambda c, kind="<u4": np.frombuffer(b"".join(group.column(c).to_pylist()), kind).astype(np.int64)
-        docs, context = joined("docs"), joined("contexts", kind)
+        # words in order of group, then word; occurrences in the order of their words
+        found = sorted(set(zip(group.column("part").to_pylist(), group.column("word").to_pylist())))
+        number = {word: i for i, (_, word) in enumerate(found)}
+        w = np.fromiter(map(number.__getitem__, group.column("word").to_pylist()), np.int64, group.num_rows)
         sizes = pc.binary_length(group.column("docs")).to_numpy() // 4
-        w, home = np.repeat(pc.index_in(group.column("word"), words).to_numpy().astype(np.int64), sizes), np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
+        w, home = np.repeat(w, sizes), np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
+        order = np.argsort(w, kind="stable")
+        w, home, docs, context = w[order], home[order], joined("docs")[order], joined("contexts", kind)[order]
         train, row = docs % 2 == 0, (home << 40) + docs // 2
         q = q1[context // len(output_b)] + q2[context % len(output_b)]
-        counts = np.bincount(w[train], minlength=len(words))
-        known = counts[w] > 0
+        counts = np.bincount(w[train], minlength=len(found))
+        parts = np.array([p for p, _ in found])
+        own = (parts // groups)[w]
         # an unknown token: the unknown one's output in place of the class'
-        model = (output_b[unknown] - output_b[own] - q @ output_r[own]).astype(np.float64)
-        if train.any():
-            number = np.cumsum(counts > 0) - 1
-            c = counts[counts > 0]
-            k, at = number[w], np.flatnonzero(known)
-            first = np.flatnonzero(train)
-            first = first[np.lexsort((context[first], k[first]))]  # whatever the order of the rows
-            r, b = fit_group(q[first], k[first], c, np.random.default_rng(part), rate)
-            share = math.log((c + 0.5).sum() / mass[own])
-            for i in range(0, len(at), 4096):
-                j = at[i : i + 4096]
-                s = q[j] @ r.T + b
-                top = s.max(1)
-                model[j] = share + s[np.arange(len(j)), k[j]] - top - np.log(np.exp(s - top[:, None]).sum(1))
+        model = (output_b[unknown] - output_b[own] - np.einsum("ij,ij->i", q, output_r[own])).astype(np.float64)
+        for part in np.unique(parts).tolist():
+            lo, hi = np.searchsorted(parts, [part, part + 1])
+            i = slice(*np.searchsorted(w, [lo, hi]))
+            if train[i].any():
+                group_scores(part, part // groups, w[i] - lo, train[i], context[i], q[i], counts[lo:hi], mass, rate, model[i])
         row, place = np.unique(row, return_inverse=True)
         total = lambda x: pa.array(np.bincount(place, x, len(row)))
-        return pa.table({"row": pa.array(row), "base": total(np.log10(counts + 0.5)[w]), "model": total(model / math.log(10)), "known": total(known)})
+        return pa.table({"row": pa.array(row), "base": total(np.log10(counts + 0.5)[w]), "model": total(model / math.log(10)), "known": total(counts[w] > 0)})
 
-    places = rows.where("part is not null").select("part", "word", "home", "docs", "contexts")
-    found = places.groupBy("part").applyInArrow(run, "row long, base double, model double, known double")
+    places = rows.where("part is not null").select(F.expr(f"part div {TOGETHER}").alias("task"), "part", "word", "home", "docs", "contexts")
+    found = places.groupBy("task").applyInArrow(run, "row long, base double, model double, known double")
     return found.groupBy("row").agg(*[F.sum(c).alias(f"tail_{c}") for c in ("base", "model", "known")])
 
 
