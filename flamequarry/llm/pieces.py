@@ -38,7 +38,7 @@ from .common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-REMEMBERED, FLUSH = 1 << 18, 4096
+REMEMBERED, FLUSH = 1 << 19, 4096
 INFINITE = math.inf
 
 
@@ -164,18 +164,14 @@ class Transducer:
         else:
             lexicon = self.ids
         self.lexicon = lexicon
-        # the trie: arcs by state and character, and the piece that ends in a state
-        self.arcs: list[dict[str, int]] = [{}]
-        self.final: list[int] = [-1]
+        # the trie: a state is its arcs, by character: (next state, the piece that ends there or -1)
+        self.start: dict = {}
         for piece, i in lexicon.items():
-            state = 0
-            for c in piece:
-                if c not in self.arcs[state]:
-                    self.arcs[state][c] = len(self.arcs)
-                    self.arcs.append({})
-                    self.final.append(-1)
-                state = self.arcs[state][c]
-            self.final[state] = i
+            state = self.start
+            for c in piece[:-1]:
+                state = state.setdefault(c, ({}, -1))[0]
+            below = state.get(piece[-1], ({}, -1))[0]
+            state[piece[-1]] = (below, i)
 
     def compile_merges(self) -> None:
         """Ranks of merges (equal scores share one), and the two halves that a piece's last merge joins."""
@@ -238,7 +234,7 @@ class Transducer:
 
     def light(self, last: int, piece: int) -> bool:
         """Whether the arc that writes piece weighs nothing after last (a byte-pair model's other weight is infinite)."""
-        if len(self.weights) > 4 * REMEMBERED:
+        if len(self.weights) > REMEMBERED:
             self.weights.clear()
         ok = self.weights[last << 32 | piece] = self.finite(last, piece)
         return ok
@@ -249,22 +245,22 @@ class Transducer:
         One state a place is kept, the lightest. A byte-pair model has no other finite one: every beginning of a word has one
         segmentation, so its last piece is known (-1: bytes, which merge with nothing).
         """
-        if self.pairs and word in self.lexicon:
-            return (self.lexicon[word],)
+        if self.pairs:
+            if word in self.lexicon:
+                return (self.lexicon[word],)
+            if len(word) <= 64:
+                return self.shortest_pairs(word)
         out: list[int] = []
         nodes: dict[int, tuple] = {0: (0.0, -1, (), None)}  # weight, last piece, written ids, the state before
-        arcs, final, pairs, scores, weights, size = self.arcs, self.final, self.pairs, self.scores, self.weights, len(word)
+        pairs, scores, weights, size = self.pairs, self.scores, self.weights, len(word)
         for place in range(size):
             node = nodes.pop(place, None)
             if node is None:
                 continue
-            last, state, at, alone = node[1], 0, place, False
-            while at < size:
-                state = arcs[state].get(word[at], -1)
-                if state < 0:
-                    break
+            last, state, at, alone = node[1], self.start, place, False
+            while at < size and (arc := state.get(word[at])):
+                state, i = arc
                 at += 1
-                i = final[state]
                 if i < 0:
                     continue
                 alone |= at == place + 1
@@ -281,7 +277,7 @@ class Transducer:
             if not alone:  # no piece of this character alone: fallback
                 w = node[0] if pairs else node[0] + self.penalty
                 if place + 1 not in nodes or w < nodes[place + 1][0]:
-                    nodes[place + 1] = (w, -1, tuple(self.bytes[b] for b in word[place].encode()) if self.byte_fallback else (self.unknown,), node)
+                    nodes[place + 1] = (w, -1, self.fallback(word[place]), node)
             if place % FLUSH == FLUSH - 1:
                 self.flush(nodes, out)
         if size not in nodes:
@@ -290,6 +286,47 @@ class Transducer:
             out.extend(node[2])
         return tuple(out)
 
+    def fallback(self, c: str) -> tuple[int, ...]:
+        return tuple(self.bytes[b] for b in c.encode()) if self.byte_fallback else (self.unknown,)
+
+    def shortest_pairs(self, word: str) -> tuple[int, ...]:
+        """The same for short words of a byte-pair model, whose finite paths weigh nothing: last piece and begin by place."""
+        size, weights, start = len(word), self.weights, self.start
+        last, begin = [-2] * (size + 1), [0] * (size + 1)  # -2: no path, -1: none or bytes
+        last[0] = -1
+        for place in range(size):
+            before = last[place]
+            if before == -2:
+                continue
+            state, at, alone = start, place, False
+            while at < size:
+                arc = state.get(word[at])
+                if arc is None:
+                    break
+                state, i = arc
+                at += 1
+                if i < 0:
+                    continue
+                if at == place + 1:
+                    alone = True
+                if last[at] == -2:
+                    if before >= 0:
+                        ok = weights.get(before << 32 | i)
+                        if not (self.light(before, i) if ok is None else ok):
+                            continue
+                    last[at], begin[at] = i, place
+            if not alone and last[place + 1] == -2:
+                last[place + 1], begin[place + 1] = -1, place
+        if last[size] == -2:
+            raise AssertionError(f"no path of finite weight through {word!r}")
+        out, at = [], size
+        while at:
+            i, at = last[at], begin[at]
+            out.append(i if i >= 0 else self.fallback(word[at]))
+        if -1 in last[1:]:
+            return tuple(x for i in reversed(out) for x in ((i,) if isinstance(i, int) else i))
+        return tuple(reversed(out))
+
     @staticmethod
     def chain(node) -> list[tuple]:
         out = []
