@@ -17,17 +17,64 @@ def text(labels):
 
 
 def with_labels(labels, names):
-    return F.map_filter(labels, lambda k, v: k.isin(list(names)))
+    """The labels of these names that are there, in this order."""
+    present = F.filter(F.array(*[F.lit(n) for n in names]), lambda n: F.array_contains(F.map_keys(labels), n))
+    return F.map_from_arrays(present, F.transform(present, lambda n: labels[n]))
+
+
+def in_order(labels):
+    """name=value pairs in the order of the map."""
+    return F.array_join(F.transform(F.map_entries(labels), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 
 
 def without(labels, names=(), private: bool = False):
     return F.map_filter(labels, lambda k, v: ~k.isin(list(names) or [""]) & ~(F.lit(private) & k.startswith("__")))
 
 
-def intersect_all(labels):
-    """Aggregate: the pairs that all label sets of a group have. Sets collapse to distinct ones before they meet."""
-    sets = F.collect_set(F.array_sort(F.map_entries(labels)))
-    return F.map_from_entries(F.reduce(sets, F.get(sets, 0), lambda a, x: F.array_intersect(a, x)))
+def subtract(labels, other):
+    """The pairs of labels that other does not have."""
+    return F.map_filter(labels, lambda k, v: ~v.eqNullSafe(other[k]))
+
+
+def intersect(labels, other):
+    return F.map_filter(labels, lambda k, v: v.eqNullSafe(other[k]))
+
+
+def inserted(labels, name: str, value):
+    """labels with name set; the map stays in order of names."""
+    rest = F.map_filter(labels, lambda k, v: k != name)
+    return F.map_from_entries(F.array_sort(F.map_entries(F.map_concat(rest, F.create_map(F.lit(name), value)))))
+
+
+def deduplicated(pairs):
+    """The map of an array of (key, value): of equal keys the first counts; in order of names."""
+    names = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["key"])))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.get(F.filter(pairs, lambda p: p["key"] == n), F.lit(0))["value"]))
+
+
+def compared(labels):
+    """What label sets are ordered by: pairs by name, then value; the shorter of equal beginnings first."""
+    return F.array_sort(F.map_entries(labels))
+
+
+def has_pair(pairs, name: str, value: str):
+    """Whether an array of (key, value) holds this pair."""
+    return F.exists(pairs, lambda p: (p["key"] == name) & (p["value"] == value))
+
+
+def legacy_name(name):
+    """Whether a label name has the letters that old clients accept."""
+    return name.rlike("^[a-zA-Z_][a-zA-Z0-9_]*$")
+
+
+def shared_labels(rows, by: list[str], labels: str = "labels"):
+    """by, shared: the pairs that all rows of a group have. Pairs are counted, which combines before the shuffle; a group of any size is a few rows."""
+    size = rows.groupBy(*by).agg(F.count("*").alias("_rows"))
+    pairs = rows.select(*by, F.explode(labels).alias("key", "value")).groupBy(*by, "key", "value").agg(F.count("*").alias("_n"))
+    same = [size[b].eqNullSafe(pairs[b]) for b in by]
+    common = pairs.join(size, same).where("_n = _rows").groupBy(*[pairs[b] for b in by]).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("shared"))
+    out = size.join(common, [size[b].eqNullSafe(common[b]) for b in by], "left")
+    return out.select(*[size[b] for b in by], F.coalesce("shared", F.create_map().cast(MAP)).alias("shared"))
 
 
 @dataclass(frozen=True)
@@ -122,6 +169,15 @@ def sanitized(name):
     return F.when(clean.rlike("^[a-zA-Z_][a-zA-Z0-9_]*$"), clean)
 
 
+def sanitized_labels(labels):
+    """The map with sanitized names: names that become equal are one if their values are, else an error, as is a name that can't be mended."""
+    pairs = F.transform(F.array_sort(F.map_entries(labels)), lambda e: F.struct(F.coalesce(sanitized(e["key"]), F.raise_error(F.concat(F.lit("label name: "), e["key"])).cast("string")).alias("key"), e["value"].alias("value")))
+    once = F.array_sort(F.array_distinct(pairs))
+    names = F.transform(once, lambda e: e["key"])
+    clash = F.size(F.array_distinct(names)) < F.size(names)
+    return F.when(clash, F.raise_error(F.lit("label names that become equal have other values")).cast(MAP)).otherwise(F.map_from_entries(once))
+
+
 def check_name(name: str) -> str:
     clean = name.replace(".", "_")
     if not re.fullmatch("[a-zA-Z_][a-zA-Z0-9_]*", clean):
@@ -130,4 +186,62 @@ def check_name(name: str) -> str:
 
 
 def basename(file):
-    return F.regexp_extract(file, "([^/]*)$", 1)
+    """The name of a mapping's file without its folders; empty for those that are no file of the program (fixed values: their beginnings)."""
+    name = F.trim(F.regexp_extract(F.regexp_replace(F.replace(file, F.lit("\\"), F.lit("/")), "/+$", ""), "([^/]*)$", 1))
+    return F.when(file.rlike(r"^(\[|linux-vdso|/dev/dri/|//anon)"), F.lit("")).otherwise(name)
+
+
+#: Languages by the names of their profilers.
+LANGUAGES = {"dotnetspy": "dotnet", "gospy": "go", "phpspy": "php", "pyspy": "python", "rbspy": "ruby", "nodespy": "nodejs", "javaspy": "java"}
+
+
+def language(profiler, others: dict[str, str] | None = None):
+    """The language of a profiler's programs; empty if it is none of these."""
+    out = F.lit("")
+    for k, v in (LANGUAGES | (others or {})).items():
+        out = F.when(profiler == k, v).otherwise(out)
+    return out
+
+
+def rewritten_name(agent, file, function):
+    """file and function for agents of interpreted languages; a Python agent's absolute files are left out."""
+    scripted = agent.isin("pyspy", "rbspy", "scripting") & ~((agent == "pyspy") & file.startswith("/")) & (F.coalesce(file, F.lit("")) != "")
+    return F.when(scripted, F.concat_ws(" ", file, function)).otherwise(function)
+
+
+def service_version(labels, repository: str = "service_repository", ref: str = "service_git_ref", root: str = "service_root_path"):
+    """repository, git_ref, root_path of the labels; null if there is none of them."""
+    values = [F.coalesce(labels[n], F.lit("")) for n in (repository, ref, root)]
+    found = F.concat(*values) != ""
+    return F.when(found, F.struct(*[v.alias(n) for v, n in zip(values, ("repository", "git_ref", "root_path"))]))
+
+
+def versioned_build_id(labels, build_id):
+    """The build id that carries the service's version: JSON of it and of the build id; the build id itself without a version."""
+    v = service_version(labels)
+    blank = lambda x: F.when(x != "", x)
+    return F.when(v.isNotNull(), F.to_json(F.struct(blank(v["repository"]).alias("repository"), blank(v["git_ref"]).alias("git_ref"), blank(build_id).alias("build_id"), blank(v["root_path"]).alias("root_path")))).otherwise(build_id)
+
+
+def hex_of_bytes(raw):
+    """Lower hex of an id kept as little-endian bytes in a long: the byte that is first in memory is written first."""
+    digits = F.lpad(F.lower(F.hex(raw)), 16, "0")
+    return F.concat(*[F.substring(digits, i, 2) for i in range(15, 0, -2)])
+
+
+def bytes_of_hex(text):
+    """The long whose little-endian bytes the 16 hex digits are; null for other texts."""
+    back = F.concat(*[F.substring(text, i, 2) for i in range(15, 0, -2)])
+    unsigned = F.conv(back, 16, 10).cast("decimal(20,0)")
+    signed = F.when(unsigned >= F.lit("9223372036854775808").cast("decimal(20,0)"), unsigned - F.lit("18446744073709551616").cast("decimal(20,0)")).otherwise(unsigned)
+    return F.when(text.rlike("^[0-9a-f]{16}$"), signed.cast("long"))
+
+
+def short_name(name):
+    """A function's name without module paths, anonymous namespaces and versions: the last parts that tell it."""
+    name = F.regexp_replace(name, r"^\(anonymous namespace\)::", "")
+    name = F.regexp_replace(name, r"^(.*?)/v(?:[2-9]|[1-9][0-9]+)([./].*)$", "$1$2")
+    go = F.regexp_extract(name, r"^(?:[\w\-.]+/)+([^.]+\..+)$", 1)
+    java = F.regexp_extract(name, r"^(?:[a-z]\w*\.)*([A-Z][\w$]*\.(?:<init>|[a-z][\w$]*(?:\$\d+)?))(?:\(|$)", 1)
+    cpp = F.regexp_extract(name, r"^(?:[_a-zA-Z]\w*::)+(_*[A-Z]\w*::~?[_a-zA-Z]\w*(?:<.*>)?)", 1)
+    return F.when(go != "", go).when(java != "", java).when(cpp != "", cpp).otherwise(name)

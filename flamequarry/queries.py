@@ -1,9 +1,7 @@
-"""The queries of the reference's operators over the driver's tables, each with its SQL for DuckDB."""
+"""The queries of the operators over the driver's tables, each with its SQL for DuckDB; those of whole profiles are in profile_queries."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,8 @@ from flamequarry.sources.adapters import PROFILES_SQL, SAMPLES_SQL, TYPE, profil
 from flamequarry.streaming import streams
 
 START, STEP = 1704067200000, 21_600_000
-END = START + 20 * 86_400_000
+END = START + 31 * 86_400_000  # all events
+SOME = START + 20 * 86_400_000  # the end of the range of queries that have one
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 BASE = ["profile_id", "service_name", "time_ms", "total_value"]
@@ -55,7 +54,7 @@ def on_samples(name: str, sql: str, f):
 ROW = "profile_id, service_name, time_ms, total_value"
 # --- scans and predicates
 on_profiles("scan_profiles", f"SELECT {ROW}, {LABELS} AS labels FROM p", lambda p: p.select(*BASE, L.text(F.col("labels")).alias("labels")))
-on_profiles("select_profiles", f"SELECT {ROW} FROM p WHERE tenant = 't1' AND service_name = 'error' AND regexp_full_match(pod, 'pod-[1-5]') AND time_ms BETWEEN {START} AND {END}", lambda p: X.select(p, '{service_name="error", pod=~"pod-[1-5]"}', START, END, tenants=["t1"]).select(BASE))
+on_profiles("select_profiles", f"SELECT {ROW} FROM p WHERE tenant = 't1' AND service_name = 'error' AND regexp_full_match(pod, 'pod-[1-5]') AND time_ms BETWEEN {START} AND {SOME}", lambda p: X.select(p, '{service_name="error", pod=~"pod-[1-5]"}', START, SOME, tenants=["t1"]).select(BASE))
 for _key, _selector, _where in [
     ("match_eq", '{region=""}', "region IS NULL"),
     ("match_neq", '{region!="r1"}', "coalesce(region, '') <> 'r1'"),
@@ -65,7 +64,7 @@ for _key, _selector, _where in [
     ("semi_join_series", '{service_name="click"}{region="r1"}', "service_name = 'click' AND region = 'r1'"),
 ]:
     on_profiles(_key, f"SELECT {ROW} FROM p WHERE {_where}", lambda p, s=_selector: X.select(p, s).select(BASE))
-on_profiles("time_range", f"SELECT {ROW} FROM p WHERE time_ms BETWEEN {START} AND {END}", lambda p: X.select(p, start=START, end=END).select(BASE))
+on_profiles("time_range", f"SELECT {ROW} FROM p WHERE time_ms BETWEEN {START} AND {SOME}", lambda p: X.select(p, start=START, end=SOME).select(BASE))
 on_profiles("profile_id_selector", f"SELECT {ROW} FROM p WHERE profile_id IN (1, 5, 77, 900000001)", lambda p: X.select(p, profile_ids=[1, 5, 77, 900000001]).select(BASE))
 on_profiles("tenant_filter", "SELECT tenant, count(*) AS profiles FROM p WHERE tenant = 't0' GROUP BY tenant", lambda p: X.select(p, tenants=["t0"]).groupBy("tenant").agg(F.count("*").alias("profiles")))
 on_profiles("pred_contains", f"SELECT {ROW} FROM p WHERE contains(service_name, 'ur')", lambda p: p.where(F.col("service_name").contains("ur")).select(BASE))
@@ -73,12 +72,9 @@ on_profiles("pred_between", f"SELECT {ROW} FROM p WHERE total_value BETWEEN 100
 on_samples("span_selector", "SELECT array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s WHERE span_id IN ('0000000000000001', '0000000000000002', '00000000000000ff') GROUP BY 1", lambda s: X.span_selector(s, spans=["0000000000000000", "0000000000000001", "0000000000000002", "00000000000000ff"]).groupBy(F.array_join("stack", ";").alias("stack")).agg(F.sum("value").alias("value")))
 on_samples("trace_selector", f"SELECT array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s WHERE trace_id = '{5:032x}' GROUP BY 1", lambda s: X.span_selector(s, traces=[f"{5:032x}"]).groupBy(F.array_join("stack", ";").alias("stack")).agg(F.sum("value").alias("value")))
 # --- labels
-on_profiles("label_names", "SELECT DISTINCT unnest(CASE WHEN region IS NULL THEN ['__profile_type__', 'pod', 'service_name'] ELSE ['__profile_type__', 'pod', 'region', 'service_name'] END) AS name FROM p", lambda p: p.select(F.explode(F.map_keys("labels")).alias("name")).distinct())
 on_profiles("label_values", "SELECT DISTINCT region AS value FROM p WHERE region IS NOT NULL", lambda p: p.select(F.col("labels")["region"].alias("value")).where("value IS NOT NULL").distinct())
 on_profiles("series_labels", f"SELECT DISTINCT {LABELS} AS labels FROM p", lambda p: p.select(L.text(F.col("labels")).alias("labels")).distinct())
-on_profiles("label_projection", "SELECT coalesce('region=' || region || ',', '') || 'service_name=' || service_name AS labels, count(*) AS profiles FROM p GROUP BY 1", lambda p: p.groupBy(L.text(L.with_labels(F.col("labels"), ["service_name", "region"])).alias("labels")).agg(F.count("*").alias("profiles")))
 on_profiles("labels_without", "SELECT coalesce('region=' || region || ',', '') || 'service_name=' || service_name AS labels, count(*) AS profiles FROM p GROUP BY 1", lambda p: p.groupBy(L.text(L.without(F.col("labels"), ["pod"], private=True)).alias("labels")).agg(F.count("*").alias("profiles")))
-on_profiles("labels_intersect", f"SELECT pod, '__profile_type__={TYPE},pod=' || pod || CASE WHEN count(DISTINCT coalesce(region, '')) = 1 THEN coalesce(',region=' || max(region), '') ELSE '' END || CASE WHEN count(DISTINCT service_name) = 1 THEN ',service_name=' || max(service_name) ELSE '' END AS labels FROM p GROUP BY pod", lambda p: p.groupBy(F.col("labels")["pod"].alias("pod")).agg(L.intersect_all(F.col("labels")).alias("l")).select("pod", L.text(F.col("l")).alias("labels")))
 on_profiles("label_cardinality", "SELECT 'pod' AS name, count(DISTINCT pod) AS distinct_values FROM p UNION ALL SELECT 'region', count(DISTINCT region) FROM p UNION ALL SELECT 'service_name', count(DISTINCT service_name) FROM p UNION ALL SELECT '__profile_type__', 1", lambda p: p.select(F.explode("labels").alias("name", "value")).groupBy("name").agg(F.count_distinct("value").alias("distinct_values")))
 for _key, _rules, _sql in [
     ("relabel_replace", [L.Rule("replace", ("service_name", "pod"), "(.*);pod-(.*)", "instance", "$1/$2")], "SELECT service_name || '/' || substr(pod, 5) AS label, count(*) AS profiles FROM p GROUP BY 1"),
@@ -94,17 +90,14 @@ for _key, _rules, _sql in [
     ("relabel_dropequal", [L.Rule("dropequal", ("region",), target="instance")], "SELECT NULL AS label, count(*) AS profiles FROM p WHERE region IS NOT NULL"),
 ]:
     on_profiles(_key, _sql, lambda p, r=_rules: L.relabel(p, r).groupBy(F.col("labels")["instance"].alias("label")).agg(F.count("*").alias("profiles")))
-on_profiles("sanitize_labels", "SELECT DISTINCT replace('app.' || service_name, '.', '_') AS name FROM p", lambda p: p.select(L.sanitized(F.concat(F.lit("app."), "service_name")).alias("name")).distinct())
 on_profiles("default_service", "SELECT CASE WHEN service_name = 'view' THEN 'unknown_service' ELSE service_name END AS service, count(*) AS profiles FROM p GROUP BY 1", lambda p: L.relabel(p, [L.Rule("replace", ("service_name",), "view", "service_name", "")]).groupBy(N.default_service(F.col("labels"))["service_name"].alias("service")).agg(F.count("*").alias("profiles")))
 on_profiles("validate_labels", "SELECT CASE WHEN region IS NULL THEN 'missing_service' END AS reason, count(*) AS profiles FROM p GROUP BY 1", lambda p: p.groupBy(N.label_problem(F.when(F.col("labels")["region"].isNull(), L.without(F.col("labels"), ["service_name"])).otherwise(F.col("labels"))).alias("reason")).agg(F.count("*").alias("profiles")))
-on_profiles("limit_sessions", "SELECT lpad(lower(to_hex(CAST('0x' || span_id AS UBIGINT) % 7)), 16, '0') AS session, count(*) AS profiles FROM p GROUP BY 1", lambda p: p.withColumn("labels", F.map_concat("labels", F.create_map(F.lit("__session_id__"), F.col("span_id")))).groupBy(N.limit_sessions(F.col("labels"), 7)["__session_id__"].alias("session")).agg(F.count("*").alias("profiles")))
-on_profiles("usage_groups", "SELECT g AS usage_group, count(*) AS profiles FROM (SELECT unnest(list_filter([CASE WHEN service_name = 'error' THEN 'errors' END, CASE WHEN region = 'r1' THEN 'first' END, 'all'], lambda x: x IS NOT NULL)) AS g FROM p) GROUP BY 1", lambda p: N.usage_groups(p, {"errors": '{service_name="error"}', "first": '{region="r1"}', "all": "{}"}).groupBy("usage_group").agg(F.count("*").alias("profiles")))
 # --- metadata
 on_profiles("profile_types", f"SELECT DISTINCT profile_type AS id, 'process_cpu' AS name, 'cpu' AS sample_type, 'nanoseconds' AS sample_unit, 'cpu' AS period_type, 'nanoseconds' AS period_unit FROM p", lambda p: p.select("profile_type").distinct().select(F.col("profile_type").alias("id"), L.profile_type(F.col("profile_type")).alias("t")).where("t IS NOT NULL").select("id", *[f"t.{c}" for c in ("name", "sample_type", "sample_unit", "period_type", "period_unit")]))
 on_profiles("parse_profile_type", f"SELECT profile_type || ':delta' AS id, 'cpu' AS sample_type, true AS delta, count(*) AS profiles FROM p GROUP BY 1", lambda p: p.groupBy(F.concat("profile_type", F.lit(":delta")).alias("id")).agg(F.count("*").alias("profiles")).select("id", L.profile_type(F.col("id"))["sample_type"].alias("sample_type"), L.profile_type(F.col("id"))["delta"].alias("delta"), "profiles"))
-on_profiles("dataset_lookup", f"SELECT tenant, service_name, min(time_ms) AS min_time, max(time_ms) AS max_time, count(*) AS profiles FROM p GROUP BY 1, 2 HAVING min(time_ms) <= {END} AND max(time_ms) >= {START}", lambda p: p.groupBy("tenant", "service_name").agg(F.min("time_ms").alias("min_time"), F.max("time_ms").alias("max_time"), F.count("*").alias("profiles")).where((F.col("min_time") <= END) & (F.col("max_time") >= START)))
+on_profiles("dataset_lookup", f"SELECT tenant, service_name, min(time_ms) AS min_time, max(time_ms) AS max_time, count(*) AS profiles FROM p GROUP BY 1, 2 HAVING min(time_ms) <= {SOME} AND max(time_ms) >= {START}", lambda p: p.groupBy("tenant", "service_name").agg(F.min("time_ms").alias("min_time"), F.max("time_ms").alias("max_time"), F.count("*").alias("profiles")).where((F.col("min_time") <= SOME) & (F.col("max_time") >= START)))
 on_profiles("profile_stats", "SELECT tenant, count(*) > 0 AS data_ingested, min(time_ms) AS oldest, max(time_ms) AS newest FROM p GROUP BY 1", lambda p: p.groupBy("tenant").agg((F.count("*") > 0).alias("data_ingested"), F.min("time_ms").alias("oldest"), F.max("time_ms").alias("newest")))
-on_profiles("analyze_query", f"SELECT count(*) AS profiles, count(DISTINCT {LABELS}) AS series FROM p WHERE time_ms BETWEEN {START} AND {END}", lambda p: X.select(p, start=START, end=END).agg(F.count("*").alias("profiles"), F.count_distinct(L.text(F.col("labels"))).alias("series")))
+on_profiles("analyze_query", f"SELECT count(*) AS profiles, count(DISTINCT {LABELS}) AS series FROM p WHERE time_ms BETWEEN {START} AND {SOME}", lambda p: X.select(p, start=START, end=SOME).agg(F.count("*").alias("profiles"), F.count_distinct(L.text(F.col("labels"))).alias("series")))
 on_profiles("query_top", "SELECT coalesce(region, '<unknown>') AS value, CAST(sum(total_value) AS BIGINT) AS total FROM p GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 2", lambda p: p.groupBy(F.coalesce(F.col("labels")["region"], F.lit("<unknown>")).alias("value")).agg(F.sum("total_value").alias("total")).orderBy(F.desc("total"), "value").limit(2))
 # --- set operations on series
 SERIES = f"f AS (SELECT DISTINCT {LABELS} AS labels, service_name, region FROM p)"
@@ -114,38 +107,18 @@ for _key, _op, _sql in [("union_series", "union", "service_name = 'click' OR reg
         return {"union": a.union(b).distinct(), "except": a.subtract(b), "intersect": a.intersect(b)}[op]
 
     on_profiles(_key, f", {SERIES} SELECT labels FROM f WHERE {_sql}".replace(" ,", ","), _sets)
-on_profiles("join_series", "SELECT region, count(*) AS profiles, CAST(sum(total_value) AS BIGINT) AS total FROM p WHERE region IS NOT NULL GROUP BY 1", lambda p: p.select(F.xxhash64(L.text(F.col("labels"))).alias("series_id"), "total_value").join(p.select(F.xxhash64(L.text(F.col("labels"))).alias("series_id"), F.col("labels")["region"].alias("region")).where("region IS NOT NULL").distinct(), "series_id").groupBy("region").agg(F.count("*").alias("profiles"), F.sum("total_value").alias("total")))
 # --- series
 on_profiles("series_sum", f", {RANGED} SELECT service_name, ts, CAST(sum(total_value) AS BIGINT) AS value FROM r GROUP BY 1, 2", lambda p: S.series(p, START, END, STEP, ["service_name"]))
 on_profiles("series_avg", f", {RANGED} SELECT region, ts, round(avg(total_value), 6) AS value FROM r GROUP BY 1, 2", lambda p: S.series(p, START, END, STEP, ["region"], average=True).withColumn("value", F.round("value", 6)))
 on_profiles("series_topk", f", {RANGED}, g AS (SELECT pod, ts, sum(total_value) AS value FROM r GROUP BY 1, 2), k AS (SELECT pod FROM g GROUP BY 1 ORDER BY sum(value) DESC, pod LIMIT 3) SELECT pod, ts, CAST(value AS BIGINT) AS value FROM g WHERE pod IN (SELECT pod FROM k)", lambda p: S.top_series(S.series(p, START, END, STEP, ["pod"]), 3, ["pod"]))
-on_profiles("merge_series", f", {RANGED} SELECT service_name, ts, CAST(sum(total_value) AS BIGINT) AS value FROM r GROUP BY 1, 2", lambda p: reduce(DataFrame.unionByName, [S.series(X.select(p, tenants=[t]), START, END, STEP, ["service_name"]) for t in ("t0", "t1")]).groupBy("service_name", "ts").agg(F.sum("value").alias("value")))
-on_profiles("series_exemplars", f", {RANGED} SELECT service_name, ts, profile_id, time_ms, total_value AS value FROM r QUALIFY row_number() OVER (PARTITION BY service_name, ts ORDER BY total_value DESC, profile_id) = 1", lambda p: S.exemplars(p, START, END, STEP, ["service_name"]))
-on_profiles("merge_exemplars", f", {RANGED} SELECT service_name, ts, profile_id, time_ms, total_value AS value FROM r QUALIFY row_number() OVER (PARTITION BY service_name, ts ORDER BY total_value DESC, profile_id) <= 2", lambda p: S.exemplars(p, START, END, STEP, ["service_name"], n=2))
-on_profiles("list_exemplars", f", {RANGED}, e AS (SELECT ts, profile_id, total_value AS value FROM r QUALIFY row_number() OVER (PARTITION BY ts ORDER BY total_value DESC, profile_id) = 1) SELECT profile_id, value FROM e ORDER BY value DESC, profile_id LIMIT 10", lambda p: S.exemplars(p, START, END, STEP).select("profile_id", "value").orderBy(F.desc("value"), "profile_id").limit(10))
 on_profiles("timeline", f", g AS (SELECT time_ms // {STEP} * {STEP} AS ts, sum(total_value) AS value FROM p WHERE service_name = 'error' GROUP BY 1) SELECT i AS ts, CAST(coalesce(value, 0) AS BIGINT) AS value FROM range({START}, {END}, {STEP}) AS x(i) LEFT JOIN g ON g.ts = i", lambda p: S.timeline(X.select(p, '{service_name="error"}'), START, END, STEP))
 on_profiles("stream_series", f", {RANGED} SELECT service_name, ts AS bucket, CAST(sum(total_value) AS BIGINT) AS value FROM r GROUP BY 1, 2", None)
 QUERIES["stream_series"] = lambda spark, d: streams.run(streams.step_series(streams.events(streams.source(spark, f"{d}/events.parquet")), START, END, STEP))
 query("stream_aggregate", f"{P} SELECT service_name, time_ms // 3600000 * 3600000 AS window_ms, CAST(sum(total_value) AS BIGINT) AS value, count(*) AS profiles FROM p GROUP BY 1, 2")(lambda spark, d: streams.run(streams.aggregated(streams.events(streams.source(spark, f"{d}/events.parquet")))))
-query("stream_late", f"{P} SELECT service_name, time_ms, total_value FROM p WHERE time_ms BETWEEN {END} - 86400000 AND {END} + 3600000")(lambda spark, d: streams.run(streams.accepted(streams.events(streams.source(spark, f"{d}/events.parquet")).drop("ts"), END, 86_400_000, 3_600_000), "append"))
-_CUM = "c AS (SELECT service_name, pod, profile_id, time_ms, CAST(sum(CASE WHEN profile_id % 50 = 0 THEN 0 ELSE total_value END) OVER (PARTITION BY service_name, pod, profile_id // 5000 ORDER BY time_ms, profile_id) AS BIGINT) AS cumulative FROM p)"
-
-
-def _cumulative(p):
-    from pyspark.sql.window import Window
-
-    p = p.withColumn("pod", F.col("labels")["pod"])
-    w = Window.partitionBy("service_name", "pod", F.expr("profile_id div 5000")).orderBy("time_ms", "profile_id").rowsBetween(Window.unboundedPreceding, 0)
-    return p.withColumn("cumulative", F.sum(F.when(F.col("profile_id") % 50 == 0, 0).otherwise(F.col("total_value"))).over(w))
-
-
-on_profiles("delta_profiles", f", {_CUM}, d AS (SELECT *, lag(cumulative) OVER (PARTITION BY service_name, pod ORDER BY time_ms, profile_id) AS b FROM c) SELECT service_name, pod, profile_id, time_ms, cumulative - b AS delta FROM d WHERE b IS NOT NULL AND cumulative >= b".replace("ROWS", ""), lambda p: S.delta(_cumulative(p), ["service_name", "pod"]))
+query("stream_late", f"{P} SELECT service_name, time_ms, total_value FROM p WHERE time_ms BETWEEN {SOME} - 86400000 AND {SOME} + 3600000")(lambda spark, d: streams.run(streams.accepted(streams.events(streams.source(spark, f"{d}/events.parquet")).drop("ts"), SOME, 86_400_000, 3_600_000), "append"))
 on_profiles("dedup_profiles", "SELECT pod, time_ms, min(profile_id) AS profile_id, arg_min(total_value, profile_id) AS total_value FROM (SELECT * REPLACE (time_ms // 3600000 AS time_ms) FROM p) GROUP BY 1, 2", lambda p: N.deduplicated(p.withColumn("pod", F.col("labels")["pod"]).withColumn("time_ms", F.expr("time_ms div 3600000")), ["pod"]))
-on_profiles("retention_filter", f"SELECT {ROW} FROM p WHERE time_ms >= {END} - 5 * 86400000", lambda p: p.where(F.col("time_ms") >= END - 5 * 86_400_000).select(BASE))
 on_profiles("sample_profiles", f"SELECT {ROW} FROM p WHERE CAST('0x' || right(md5(CAST(profile_id AS VARCHAR)), 8) AS UBIGINT) % 1000000 < 250000", lambda p: N.sampled(p, 0.25).select(BASE))
 on_profiles("recording_rule_total", "SELECT 'profiles_recorded_errors' AS metric, 'x' AS origin, region, CAST(sum(total_value) AS BIGINT) AS value FROM p WHERE service_name = 'error' GROUP BY 3", lambda p: N.record(p, N.RecordingRule("profiles_recorded_errors", '{service_name="error"}', ("region",), {"origin": "x"})))
-on_profiles("split_by_labels", "SELECT pod, region, count(*) AS profiles, CAST(sum(total_value) AS BIGINT) AS total FROM p GROUP BY 1, 2", lambda p: p.groupBy(*S.group_keys(["pod", "region"])).agg(F.count("*").alias("profiles"), F.sum("total_value").alias("total")))
-on_profiles("split_by_service", f"SELECT service_name, '__profile_type__={TYPE},service_name=' || service_name AS group_labels, CAST(sum(total_value) AS BIGINT) AS total FROM p GROUP BY 1", lambda p: p.groupBy("service_name").agg(L.intersect_all(F.col("labels")).alias("l"), F.sum("total_value").alias("total")).select("service_name", L.text(F.col("l")).alias("group_labels"), "total"))
 # --- heatmaps
 _LAST = -(-(END - START % STEP) // STEP) * STEP + START % STEP
 _M = START % STEP
@@ -155,56 +128,30 @@ e AS (SELECT list_transform(range(0, {S.BUCKETS}), lambda i: lo + CAST(trunc(i *
 cell AS (SELECT *, least(greatest((time_ms - {_M} + {STEP} - 1) // {STEP} * {STEP} + {_M}, {START}), {_LAST}) AS slot, len(list_filter(edges, lambda x: x <= v)) - 1 AS y FROM h, e)"""
 HEAT_CELLS = "SELECT service_name, slot, y, min(edges[y + 1]) AS y_min, count(*) AS cnt FROM cell GROUP BY 1, 2, 3"
 SPANS = ", sp AS (SELECT service_name, pod, region, time_ms, span_id, CAST(sum(total_value) AS BIGINT) AS total_value FROM p WHERE span_id <> '0000000000000000' GROUP BY ALL)"
-on_profiles("heatmap_individual", "SELECT service_name, time_ms, profile_id, total_value FROM p", lambda p: p.select("service_name", "time_ms", "profile_id", "total_value"))
 on_profiles("heatmap_counts", HEAT.format(points="p") + HEAT_CELLS, lambda p: S.heatmap(p, START, END, STEP, ["service_name"]))
 on_profiles("heatmap_span", SPANS + HEAT.format(points="sp") + HEAT_CELLS, lambda p: S.heatmap(S.span_points(p), START, END, STEP, ["service_name"]))
 on_profiles("heatmap_topk", HEAT.format(points="p") + f", c AS ({HEAT_CELLS}), k AS (SELECT service_name FROM c GROUP BY 1 ORDER BY sum(cnt) DESC, 1 LIMIT 2) SELECT * FROM c WHERE service_name IN (SELECT service_name FROM k)", lambda p: S.top_series(S.heatmap(p, START, END, STEP, ["service_name"]).withColumnRenamed("cnt", "value"), 2, ["service_name"]).withColumnRenamed("value", "cnt"))
-on_profiles("heatmap_exemplars", f", h AS (SELECT *, least(greatest((time_ms - {_M} + {STEP} - 1) // {STEP} * {STEP} + {_M}, {START}), {_LAST}) AS slot FROM p WHERE time_ms BETWEEN {START} - {STEP} AND {END}) SELECT slot, profile_id, total_value AS value FROM h QUALIFY row_number() OVER (PARTITION BY slot ORDER BY total_value DESC, profile_id) = 1", lambda p: p.where(F.col("time_ms").between(START - STEP, END)).withColumn("slot", F.least(F.greatest(S.round_up(START, STEP, "time_ms"), F.lit(START)), F.lit(_LAST))).groupBy("slot").agg(F.max_by(F.struct("profile_id", F.col("total_value").alias("value")), F.struct("total_value", -F.col("profile_id"))).alias("x")).select("slot", "x.*"))
 # --- samples, trees
 STACKED = "SELECT array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s WHERE {} GROUP BY 1"
 joined = lambda df: df.withColumn("stack", F.array_join("stack", ";"))
-on_samples("explode_samples", "SELECT profile_id, array_to_string(stack, ';') AS stack, value FROM s", lambda s: joined(s).select("profile_id", "stack", "value"))
 on_samples("merge_stacks", STACKED.format("value > 0"), lambda s: joined(T.merge_stacks(s)))
-on_samples("merge_pprof", STACKED.format("value > 0"), lambda s: joined(T.merge_stacks(s)))
-on_samples("normalize_profile", "SELECT profile_id, service_name, array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s WHERE value > 0 GROUP BY 1, 2, 3", lambda s: joined(N.normalize(s)))
 on_samples("profile_total", "SELECT profile_id, CAST(sum(value) AS BIGINT) AS total FROM s GROUP BY 1", lambda s: s.groupBy("profile_id").agg(F.sum("value").alias("total")))
-on_samples("merge_headers", "SELECT service_name, min(time_ms) AS time_ms, CAST(sum(value) AS BIGINT) AS duration, max(value) AS period FROM s GROUP BY 1", lambda s: s.groupBy("service_name").agg(F.min("time_ms").alias("time_ms"), F.sum("value").alias("duration"), F.max("value").alias("period")))
 on_samples("validate_profiles", "SELECT array_to_string(list_transform(stack[1:3], lambda f: right(f, 5)), ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s GROUP BY 1", lambda s: joined(N.limited(s, 3, 5).groupBy("stack").agg(F.sum("value").alias("value"))))
 on_samples("callsite_subtree", STACKED.format("stack[1] = 'AFRICA' AND stack[2] = 'NATION_0'"), lambda s: joined(T.merge_stacks(T.subtree(s, ["AFRICA", "NATION_0"]))))
 on_samples("function_total", "SELECT CAST(coalesce(sum(value), 0) AS BIGINT) AS value FROM s WHERE list_contains(stack, 'AFRICA')", lambda s: s.where(F.array_contains("stack", "AFRICA")).agg(F.coalesce(F.sum("value"), F.lit(0)).alias("value")))
-on_samples("callsite_values", "SELECT CAST(sum(CASE WHEN stack[-1] = 'NATION_0' THEN value ELSE 0 END) AS BIGINT) AS flat, CAST(sum(CASE WHEN list_contains(stack, 'NATION_0') THEN value ELSE 0 END) AS BIGINT) AS total, CAST(sum(CASE WHEN stack[1:2] = ['AFRICA', 'NATION_0'] THEN value ELSE 0 END) AS BIGINT) AS location_total FROM s", lambda s: s.agg(F.sum(F.when(F.element_at("stack", -1) == "NATION_0", F.col("value")).otherwise(0)).alias("flat"), F.sum(F.when(F.array_contains("stack", "NATION_0"), F.col("value")).otherwise(0)).alias("total"), F.sum(F.when(F.slice("stack", 1, 2) == F.array(F.lit("AFRICA"), F.lit("NATION_0")), F.col("value")).otherwise(0)).alias("location_total")))
 on_samples("series_callsite", "SELECT time_ms // 604800000 AS week, CAST(sum(value) AS BIGINT) AS value FROM s WHERE stack[1] = 'ASIA' GROUP BY 1", lambda s: T.subtree(s, ["ASIA"]).groupBy(F.expr("time_ms div 604800000").alias("week")).agg(F.sum("value").alias("value")))
 on_samples("recording_rule_function", "SELECT 'profiles_recorded_fn' AS metric, service_name, CAST(sum(value) AS BIGINT) AS value FROM s WHERE list_contains(stack, 'ASIA') GROUP BY 2", lambda s: N.record(s.withColumn("labels", F.create_map(F.lit("service_name"), F.col("service_name"))), N.RecordingRule("profiles_recorded_fn", "{}", ("service_name",), {}, "ASIA"), "value"))
-on_samples("pgo_profile", "SELECT array_to_string(list_reverse(stack)[1:2], ';') AS leaf_first, CAST(sum(value) AS BIGINT) AS value FROM s GROUP BY 1", lambda s: s.groupBy(F.array_join(F.slice(F.reverse("stack"), 1, 2), ";").alias("leaf_first")).agg(F.sum("value").alias("value")))
 for _key, _ms in [("downsample_5m", 300_000), ("downsample_1h", 3_600_000)]:
     on_samples(_key, f"SELECT service_name, time_ms // {_ms} * {_ms} AS ts, array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s GROUP BY 1, 2, 3", lambda s, ms=_ms: joined(S.downsample(s, ms)))
-on_samples("callgraph_nodes", "SELECT n AS name, CAST(sum(CASE WHEN stack[-1] = n THEN value ELSE 0 END) AS BIGINT) AS flat, CAST(sum(value) AS BIGINT) AS cum FROM (SELECT stack, value, unnest(list_distinct(stack)) AS n FROM s WHERE value > 0) GROUP BY 1", lambda s: T.call_graph(s)[0])
-on_samples("callgraph_edges", "SELECT stack[i] AS parent, stack[i + 1] AS child, CAST(sum(value) AS BIGINT) AS weight FROM (SELECT stack, value, unnest(range(1, len(stack))) AS i FROM s WHERE value > 0) WHERE stack[i] <> stack[i + 1] GROUP BY 1, 2", lambda s: T.call_graph(s)[1])
-query("flame_tree", f"{TREE} SELECT path, name, depth, self, total FROM t")(lambda spark, d: longs(T.build(samples(spark, d)), "depth"))
-query("tree_collapsed", f"{TREE} SELECT path || ' ' || self AS line FROM t WHERE self > 0")(lambda spark, d: T.collapsed(T.build(samples(spark, d))))
-query("merge_trees", f"{TREE} SELECT path, name, depth, self, total FROM t")(lambda spark, d: longs(T.merge(*[T.build(samples(spark, d).where(F.col("service_name") == s)) for s in "ANR"]), "depth"))
-query("rename_frames", TREE.replace("[r_name, n_name", "['world', n_name") + " SELECT path, name, depth, self, total FROM t")(lambda spark, d: longs(T.build(samples(spark, d).withColumn("stack", F.transform("stack", lambda f, i: F.when(i == 0, "world").otherwise(f)))), "depth"))
-query("location_tree", TREE.replace("p_brand, p_type]", "p_brand || ':' || p_type]") + " SELECT path, name, depth, self, total FROM t")(lambda spark, d: longs(T.build(samples(spark, d).withColumn("stack", F.concat(F.slice("stack", 1, 2), F.array(F.concat(F.get("stack", 2), F.lit(":"), F.get("stack", 3)))))), "depth"))
 CUT = """, th AS (SELECT CASE WHEN count(*) > 200 THEN (SELECT total FROM t ORDER BY total DESC LIMIT 1 OFFSET 199) ELSE 0 END AS m FROM t),
 u AS (SELECT t.*, CASE WHEN depth > 1 THEN array_to_string(string_split(path, ';')[1:depth - 1], ';') ELSE '' END AS above FROM t),
 cut AS (SELECT path, name, depth, self, total FROM u, th WHERE total >= m UNION ALL
  SELECT CASE WHEN above = '' THEN 'other' ELSE above || ';other' END, 'other', depth, CAST(sum(total) AS BIGINT), CAST(sum(total) AS BIGINT) FROM u, th WHERE total < m AND (above = '' OR above IN (SELECT path FROM t, th WHERE total >= m)) GROUP BY above, depth)"""
-query("truncate_tree", f"{TREE}{CUT} SELECT path, name, depth, self, total FROM cut")(lambda spark, d: longs(T.truncate(T.build(samples(spark, d)), 200), "depth"))
 query("pprof_truncated", f"{TREE}{CUT}, k AS (SELECT path FROM t, th WHERE total >= m), sk AS (SELECT stack, sum(value) AS value FROM s GROUP BY stack), dd AS (SELECT stack, value, count(k.path) AS n FROM (SELECT stack, value, unnest(range(1, len(stack) + 1)) AS i FROM sk) LEFT JOIN k ON k.path = array_to_string(stack[1:i], ';') GROUP BY 1, 2) SELECT CASE WHEN n = 0 THEN 'other' WHEN n < len(stack) THEN array_to_string(stack[1:n], ';') || ';other' ELSE array_to_string(stack, ';') END AS stack, CAST(sum(value) AS BIGINT) AS value FROM dd GROUP BY 1")(lambda spark, d: T.truncated_profile(samples(spark, d), 200))
 _SIDES = SM + ", l AS (SELECT * FROM s WHERE service_name = 'A'), q AS (SELECT * FROM s WHERE service_name = 'R'), " + NODES.format(rows="l", t="lt") + ", " + NODES.format(rows="q", t="rt").replace("x AS", "x2 AS").replace("FROM x ", "FROM x2 ")
-query("diff_tree", f"{_SIDES} SELECT coalesce(lt.path, rt.path) AS path, coalesce(lt.name, rt.name) AS name, coalesce(lt.depth, rt.depth) AS depth, coalesce(lt.self, 0) AS left_self, coalesce(lt.total, 0) AS left_total, coalesce(rt.self, 0) AS right_self, coalesce(rt.total, 0) AS right_total FROM lt FULL JOIN rt ON lt.path = rt.path")(lambda spark, d: longs(T.diff(*[T.build(samples(spark, d).where(F.col("service_name") == x)) for x in "AR"]), "depth"))
-query("flamegraph_levels", f"""{TREE}, u AS (SELECT t.*, CASE WHEN depth > 1 THEN array_to_string(string_split(path, ';')[1:depth - 1], ';') ELSE '' END AS above FROM t),
-sh AS (SELECT u.*, coalesce(sum(u.total) OVER (PARTITION BY u.above ORDER BY u.name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + coalesce(pp.self, 0) AS shift FROM u LEFT JOIN t pp ON u.above = pp.path),
-up AS (SELECT path, array_to_string(string_split(path, ';')[1:i], ';') AS upper FROM (SELECT path, unnest(range(1, depth + 1)) AS i FROM t))
-SELECT sh.path, sh.depth AS level, (SELECT CAST(sum(s2.shift) AS BIGINT) FROM up JOIN sh s2 ON up.upper = s2.path WHERE up.path = sh.path) AS x, sh.total, sh.self, sh.name FROM sh""")(lambda spark, d: longs(T.layout(T.build(samples(spark, d))), "level"))
-query("resolve_symbols", f"{SM} SELECT array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s WHERE value > 0 GROUP BY 1")(lambda spark, d: (lambda s: joined(T.merge_stacks(s.select(F.xxhash64("stack").alias("stack_id"), "value").join(s.select(F.xxhash64("stack").alias("stack_id"), "stack").distinct(), "stack_id"))))(samples(spark, d)))
 # --- names and text formats
-query("mapping_basename", "SELECT DISTINCT regexp_extract('/usr/lib/' || p_brand, '([^/]*)$', 1) AS file FROM part")(lambda spark, d: table(spark, d, "part").select(L.basename(F.concat(F.lit("/usr/lib/"), "p_brand")).alias("file")).distinct())
 query("drop_go_type_params", "SELECT DISTINCT 'f_' || p_brand || '.g' AS name FROM part")(lambda spark, d: table(spark, d, "part").select("p_brand").distinct().select(L.drop_go_type_params(F.concat(F.lit("f_"), "p_brand", F.lit("[go.shape.struct { x []uint8 }].g"))).alias("name")))
-query("rewrite_names", "SELECT DISTINCT CASE WHEN starts_with(p_type, '/') THEN p_brand ELSE p_type || ' ' || p_brand END AS name FROM part")(lambda spark, d: table(spark, d, "part").select(F.when(F.col("p_type").startswith("/"), F.col("p_brand")).otherwise(F.concat_ws(" ", "p_type", "p_brand")).alias("name")).distinct())
-query("parse_lines", "SELECT l AS line, count(*) AS value FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents) WHERE l <> '' GROUP BY 1")(lambda spark, d: table(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''").groupBy("line").agg(F.count("*").alias("value")))
-query("parse_collapsed", f"{SM} SELECT array_to_string(stack, ';') AS stack, CAST(sum(value) AS BIGINT) AS value FROM s GROUP BY 1")(lambda spark, d: samples(spark, d).select(F.concat_ws(" ", F.array_join("stack", ";"), F.col("value").cast("string")).alias("line")).select(F.regexp_extract("line", r"^(.*) (\d+)$", 1).alias("stack"), F.regexp_extract("line", r"^(.*) (\d+)$", 2).cast("long").alias("value")).groupBy("stack").agg(F.sum("value").alias("value")))
-query("clear_addresses", "SELECT l_returnflag, CASE WHEN l_linestatus = 'O' THEN 0 ELSE l_partkey END AS address, count(*) AS n FROM lineitem GROUP BY 1, 2")(lambda spark, d: table(spark, d, "lineitem").groupBy("l_returnflag", F.when(F.col("l_linestatus") == "O", 0).otherwise(F.col("l_partkey")).alias("address")).agg(F.count("*").alias("n")))
 query("symbolize_range", "SELECT l_orderkey % 7 AS build_id, l_partkey AS address, p_name AS name, count(*) AS n FROM lineitem JOIN part ON p_partkey % 7 = l_orderkey % 7 AND l_partkey >= p_partkey AND l_partkey < p_partkey + p_size GROUP BY 1, 2, 3")(lambda spark, d: N.symbolize(table(spark, d, "lineitem").groupBy((F.col("l_orderkey") % 7).alias("build_id"), F.col("l_partkey").alias("address")).agg(F.count("*").alias("hits")), table(spark, d, "part").select((F.col("p_partkey") % 7).alias("build_id"), F.col("p_partkey").alias("va"), F.col("p_size").alias("length"), F.col("p_name").alias("name")), 64).groupBy("build_id", "address", "name").agg(F.sum("hits").alias("n")))
-query("sampletype_relabel", "SELECT t AS sample_type, CAST(sum(v) AS BIGINT) AS value FROM (SELECT 'quantity' AS t, CAST(l_quantity AS BIGINT) AS v FROM lineitem UNION ALL SELECT 'lines', l_linenumber FROM lineitem) GROUP BY 1")(lambda spark, d: table(spark, d, "lineitem").select(F.explode(F.create_map(F.lit("quantity"), F.col("l_quantity").cast("long"), F.lit("lines"), F.col("l_linenumber").cast("long"), F.lit("parts"), F.col("l_partkey"))).alias("sample_type", "v")).where("sample_type <> 'parts'").groupBy("sample_type").agg(F.sum("v").alias("value")))
-query("detect_language", "SELECT CASE event_type WHEN 'click' THEN 'go' WHEN 'view' THEN 'python' ELSE 'unknown' END AS language, count(*) AS n FROM events GROUP BY 1")(lambda spark, d: table(spark, d, "events").groupBy(F.when(F.col("event_type") == "click", "go").when(F.col("event_type") == "view", "python").otherwise("unknown").alias("language")).agg(F.count("*").alias("n")))
+
+
+from flamequarry import profile_queries  # noqa: E402, F401  they add themselves

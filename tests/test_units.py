@@ -13,7 +13,7 @@ def stacks(spark, rows):
 
 
 def nodes(df):
-    return {r.path: (r.self, r.total) for r in df.collect()}
+    return {";".join(r.path): (r.self, r.total) for r in df.collect()}
 
 
 def test_equal_stacks_are_summed(spark):
@@ -32,7 +32,7 @@ def test_tree_without_rows(spark):
 
 def test_diff_same_structure(spark):
     left, right = (T.build(stacks(spark, [(["a", "b"], x), (["a", "c"], y)])) for x, y in ((1, 2), (4, 8)))
-    got = {r.path: (r.left_total, r.right_total) for r in T.diff(left, right).collect()}
+    got = {";".join(r.path): (r.left_total, r.right_total) for r in T.diff(left, right).collect()}
     assert got == {"a": (3, 12), "a;b": (1, 4), "a;c": (2, 8)}
 
 
