@@ -8,7 +8,8 @@ known tokens and of one unknown token sum to one. As context, a token of the tai
 
 * Counts: every training token, one aggregation that combines before the shuffle. The head is a top-k of it; it has ``OUTPUTS``
   tokens, and more (the square root of the distinct ones, as a power of two) for a vocabulary beyond a million.
-* Coding: one pass turns texts into packed output numbers and packs the tail's places by token; later passes read these.
+* Coding: one pass turns texts into packed output numbers and packs the tail's places by the task they go to; later passes
+  read these.
 * Tail: each occurrence goes to its group in one shuffle; the group's task counts, trains (one pass over the training
   documents' occurrences, softmax over the group) and scores. A group holds no token of the head, which bounds it.
 * Training: documents are dealt by hash to shards of about ``SHARD`` tokens, however the rows are partitioned. A shard's task
@@ -41,7 +42,7 @@ from .common import materialize, shared_folder, table
 
 OUTPUTS, WIDTH, NOISE, BATCH, RATE = 1024, 24, 32, 1024, 0.2
 SHARD, FAN, KEPT, DISTINCT = 1 << 22, 16, 1 << 22, 1 << 18
-HEAD_CLASS, GROUP, TOGETHER, TAIL_BATCH, TAIL_RATE, PLACES = 64, 128, 8, 256, 1.0, 1 << 20
+HEAD_CLASS, GROUP, TOGETHER, TAIL_BATCH, TAIL_RATE, PLACES = 64, 128, 8, 256, 1.0, 1 << 21
 
 
 def held_out(doc_id):
@@ -134,13 +135,14 @@ class Numbers(dict):
     """Own numbers of the words that a task meets, with the output of each."""
 
     def __init__(self, coder: Coder):
-        self.coder, self.words, self.outputs = coder, [], array("q")
+        self.coder, self.words, self.outputs, self.tasks = coder, [], array("q"), array("q")
 
     def __missing__(self, word: bytes) -> int:
         out = self.coder.number.get(word)
         n = self[word] = len(self.words)
         self.words.append(word)
         self.outputs.append(zlib.crc32(word) % self.coder.classes if out is None else out)
+        self.tasks.append(self.coder.part_of(word) // TOGETHER)
         return n
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -291,9 +293,9 @@ class Scorer:
         return out - self.normalisers(c1 * len(self.b) + c2)
 
 
-#: Two kinds of row: of a document (part is null), and of a token of the tail: its places, packed.
-CODED = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, ids binary, part int, word binary, home int, docs binary, contexts binary"
-CODED_TYPE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_head", pa.int64()), ("base", pa.float64()), ("ids", pa.binary()), ("part", pa.int32()), ("word", pa.binary()), ("home", pa.int32()), ("docs", pa.binary()), ("contexts", pa.binary())])
+#: Two kinds of row: of a document (task is null), and of places of the tail's tokens: the task's words, then for each place the word's number, document and contexts.
+CODED = "row long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, ids binary, task int, words binary, home int, own binary, docs binary, contexts binary"
+CODED_TYPE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_head", pa.int64()), ("base", pa.float64()), ("ids", pa.binary()), ("task", pa.int32()), ("words", pa.binary()), ("home", pa.int32()), ("own", pa.binary()), ("docs", pa.binary()), ("contexts", pa.binary())])
 
 
 class Places:
@@ -314,19 +316,25 @@ class Places:
         self.size += len(words)
 
     def packed(self):
-        found, w = np.unique(np.concatenate(self.words), return_inverse=True)
-        docs, contexts, words = np.concatenate(self.docs), np.concatenate(self.contexts), [self.numbers.words[i] for i in found.tolist()]
-        order, ends = np.argsort(w, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(w, minlength=len(words)))])
-
-        def pack(x):
-            offsets = pa.array((ends * x.itemsize).astype(np.int32))
-            return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, offsets.buffers()[1], pa.py_buffer(x[order].tobytes())])
-
-        columns = {"part": pa.array([self.v.part_of(x) for x in words], pa.int32()), "word": pa.array(words, pa.binary()), "home": pa.array(np.full(len(words), self.home, np.int32)), "docs": pack(docs), "contexts": pack(contexts)}
+        w, docs, contexts = np.concatenate(self.words), np.concatenate(self.docs), np.concatenate(self.contexts)
+        task = np.frombuffer(self.numbers.tasks, np.int64)[w]
+        order = np.argsort(task << 32 | w, kind="stable")
+        w, task, docs, contexts = w[order], task[order], docs[order], contexts[order]
         self.clear()
-        whole = pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(words), f.type)) for f in CODED_TYPE], schema=CODED_TYPE)
-        for at in range(0, len(words), 10_000):
-            yield whole.slice(at, 10_000)
+        begins = np.flatnonzero(np.diff(task, prepend=-1)).tolist()
+        rows: dict[str, list] = {c: [] for c in ("task", "words", "own", "docs", "contexts")}
+        for i, j in zip(begins, [*begins[1:], len(w)]):
+            fresh = np.diff(w[i:j], prepend=-1) != 0
+            rows["task"].append(int(task[i]))
+            rows["words"].append(b"\n".join([self.numbers.words[k] for k in w[i:j][fresh].tolist()]))  # no word holds a line's end
+            rows["own"].append((np.cumsum(fresh) - 1).astype("<u4").tobytes())
+            rows["docs"].append(docs[i:j].tobytes())
+            rows["contexts"].append(contexts[i:j].tobytes())
+        n = len(begins)
+        columns = {c: pa.array(v, CODED_TYPE.field(c).type) for c, v in rows.items()} | {"home": pa.array(np.full(n, self.home, np.int32))}
+        whole = pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in CODED_TYPE], schema=CODED_TYPE)
+        for at in range(0, n, 500):
+            yield whole.slice(at, 500)
 
 
 def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -430,19 +438,22 @@ def group_scores(part: int, own: int, w: np.ndarray, train: np.ndarray, context:
 
 def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) -> DataFrame:
     """For each document with tokens of the tail: sums over them of the base, of the model beyond their class, and the number known."""
-    sent = rows.sparkSession.sparkContext.broadcast((params, vocabulary.mass, vocabulary.groups, vocabulary.unknown, TAIL_RATE))
+    sent = rows.sparkSession.sparkContext.broadcast((params, vocabulary.mass, vocabulary.classes, vocabulary.groups, vocabulary.unknown, TAIL_RATE))
 
     def run(group):
-        params, mass, groups, unknown, rate = sent.value
+        params, mass, classes, groups, unknown, rate = sent.value
         q1, q2, output_r, output_b = views(params)
         kind = "<u4" if len(output_b) < 1 << 16 else "<u8"
-        joined = lambda c, kind="<u4": np.frombuffer(b"".join(group.column(c).to_pylist()), kind).astype(np.int64)
+        coder = Coder([], np.empty(0), classes, groups)
+        lists = [x.split(b"\n") for x in group.column("words").to_pylist()]
         # words in order of group, then word; occurrences in the order of their words
-        found = sorted(set(zip(group.column("part").to_pylist(), group.column("word").to_pylist())))
+        found = sorted({(coder.part_of(x), x) for x in set(chain.from_iterable(lists))})
         number = {word: i for i, (_, word) in enumerate(found)}
-        w = np.fromiter(map(number.__getitem__, group.column("word").to_pylist()), np.int64, group.num_rows)
-        sizes = pc.binary_length(group.column("docs")).to_numpy() // 4
-        w, home = np.repeat(w, sizes), np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
+        joined = lambda c, kind="<u4": np.frombuffer(b"".join(group.column(c).to_pylist()), kind).astype(np.int64)
+        sizes = pc.binary_length(group.column("own")).to_numpy() // 4
+        first = np.concatenate([[0], np.cumsum([len(x) for x in lists])[:-1]])
+        flat = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64)
+        w, home = flat[np.repeat(first, sizes) + joined("own")], np.repeat(group.column("home").to_numpy().astype(np.int64), sizes)
         order = np.argsort(w, kind="stable")
         w, home, docs, context = w[order], home[order], joined("docs")[order], joined("contexts", kind)[order]
         train, row = docs % 2 == 0, (home << 40) + docs // 2
@@ -461,7 +472,7 @@ def tail_scores(rows: DataFrame, vocabulary: Vocabulary, params: np.ndarray) ->
         total = lambda x: pa.array(np.bincount(place, x, len(row)))
         return pa.table({"row": pa.array(row), "base": total(np.log10(counts + 0.5)[w]), "model": total(model / math.log(10)), "known": total(counts[w] > 0)})
 
-    places = rows.where("part is not null").select(F.expr(f"part div {TOGETHER}").alias("task"), "part", "word", "home", "docs", "contexts")
+    places = rows.where("task is not null").select("task", "words", "home", "own", "docs", "contexts")
     found = places.groupBy("task").applyInArrow(run, "row long, base double, model double, known double")
     return found.groupBy("row").agg(*[F.sum(c).alias(f"tail_{c}") for c in ("base", "model", "known")])
 
@@ -472,7 +483,7 @@ def language_model_scores(docs: DataFrame, outputs: int | None = None, shard: in
     counts = materialize(token_counts(docs.where(~held_out(F.col("doc_id")))), folder, "counts")
     v = Vocabulary(counts, outputs)
     rows = materialize(coded(docs, v), folder, "coded")
-    texts = rows.where("part is null")
+    texts = rows.where("task is null")
     train, params = texts.where("not held_out").select("doc_id", "ids"), start(v)
     for k in (0, 1):
         half = F.pmod(F.xxhash64(F.lit("half"), "doc_id", "ids"), F.lit(2)) == k

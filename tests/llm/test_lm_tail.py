@@ -28,9 +28,9 @@ def test_lm_tail_is_normalised(spark):
     groups, unknown, r, b = 3, 2, lm.views(params)[2], lm.views(params)[3]
     r[unknown] = 0
     part = lambda w: zlib.crc32(w) % classes * groups + zlib.crc32(w) // classes % groups
-    place = lambda w, docs, at: (part(w), w, 0, np.array(docs, "<u4").tobytes(), np.array(at, "<u4").tobytes())
+    place = lambda w, docs, at: (part(w) // lm.TOGETHER, w, 0, np.zeros(len(docs), "<u4").tobytes(), np.array(docs, "<u4").tobytes(), np.array(at, "<u4").tobytes())
     rows = [place(w, [0] * c, rng.integers(0, 36, c)) for w, c in count.items()] + [place(w, [2 * i + 3], [3 * 6 + 5]) for i, w in enumerate([*words, b"unseen"])]
-    df = spark.createDataFrame(rows, "part int, word binary, home int, docs binary, contexts binary")
+    df = spark.createDataFrame(rows, "task int, words binary, home int, own binary, docs binary, contexts binary")
     got = {x.row: x for x in lm.tail_scores(df, SimpleNamespace(classes=classes, groups=groups, unknown=unknown, mass=mass), params).collect()}
     by = [0.0] * classes
     for i, w in enumerate(words):
@@ -59,7 +59,7 @@ def test_lm_scores_against_brute_force(spark):
     v = lm.Vocabulary(counts, 64)
     params = lm.smoothed(np.random.default_rng(2).normal(0, 1, len(lm.start(v))).astype(np.float32), v)
     rows = lm.coded(docs, v)
-    got = {r.doc_id: r.model for r in lm.scored(rows.where("part is null"), params, v.end).collect()}
+    got = {r.doc_id: r.model for r in lm.scored(rows.where("task is null"), params, v.end).collect()}
     q1, q2, r, b = lm.views(params)
     out = v.coder()
     for i, text in docs.collect():
