@@ -285,3 +285,17 @@ def test_chat_null_turn_comes_first(spark, tmp_path):
     result = duckdb.sql(chat.op4_sql())
     df = chat.op4_chat_format(spark, str(tmp_path))
     assert sorted(tuple(r[c] for c in result.columns) for r in df.collect()) == sorted(result.fetchall())
+
+
+def test_long_conversations_are_spread(spark):
+    import random
+
+    rng = random.Random(2)
+    said = lambda i, n: [(i, t if t % 7 else None if t == 0 else t, rng.choice(["user", "assistant", None]), f"text {t} <|im_end|> {rng.random()}") for t in range(n)]
+    rows = said(1, 90) + said(2, 3) + said(3, 41) + said(None, 33) + said(4, 20) + [(5, 0, "assistant", "a")] * 30
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    whole, spread = (chat.expand(df, long, 8) for long in (10**6, 20))
+    key = lambda df: sorted((str(r.conv_id), r.example, r.text, r.loss_start, r.loss_end) for r in df.collect())
+    assert spread.where("spread").select("conv_id").distinct().count() == 4 and str(key(whole)) == str(key(spread))
+    assert spread.where("closing").count() == 6
+    assert sorted(map(str, chat.read_back(whole).collect())) == sorted(map(str, chat.read_back(spread).collect()))
