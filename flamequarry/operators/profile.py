@@ -109,6 +109,27 @@ def kept_types(samples: DataFrame, keep) -> DataFrame:
     return samples.withColumn("_both", chosen).withColumn("sample_types", F.transform("_both", lambda x: x["sample_types"])).withColumn("values", F.transform("_both", lambda x: x["values"])).drop("_both").where(F.size("values") > 0)
 
 
+#: Names, units and kinds of sample types in profiles of old clients.
+SAMPLE_TYPES = {
+    "samples": ("cpu", "samples", ""), "inuse_objects": ("inuse_objects", "objects", "average"), "alloc_objects": ("alloc_objects", "objects", "cumulative"), "inuse_space": ("inuse_space", "bytes", "average"),
+    "alloc_space": ("alloc_space", "bytes", "cumulative"), "goroutine": ("goroutines", "goroutines", "average"), "contentions": ("mutex_count", "lock_samples", "cumulative"), "delay": ("mutex_duration", "lock_nanoseconds", "cumulative"),
+}
+
+
+def configured_types(samples: DataFrame, config: dict[str, tuple[str, str, str]] | None = None) -> DataFrame:
+    """Only the sample types of the config, under the names and units that it gives them."""
+    config = SAMPLE_TYPES if config is None else config
+    kept = kept_types(samples, lambda kind, unit: kind.isin(*config))
+    place = lambda t, i: F.element_at(F.create_map(*[F.lit(x) for k, v in config.items() for x in (k, v[i])]), t["type"])
+    return kept.withColumn("sample_types", F.transform("sample_types", lambda t: F.struct(place(t, 0).alias("type"), place(t, 1).alias("unit"))))
+
+
+def fixed_time(samples: DataFrame, received: int) -> DataFrame:
+    """Profiles without a time, or with one in 1970 (other units), get the time they were received (ns)."""
+    year = 31_536_000 * 10**9
+    return samples.withColumn("time_nanos", F.when(F.col("time_nanos").between(0, year), F.lit(received)).otherwise(F.col("time_nanos")))
+
+
 def referenced(samples: DataFrame, stacks: DataFrame, locations: DataFrame, lines: DataFrame, functions: DataFrame, mappings: DataFrame):
     """The symbol tables without rows that no sample (stack_id) leads to."""
     stacks = stacks.join(samples.select("stack_id").distinct(), "stack_id", "left_semi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,3 +125,61 @@ def dot(nodes: DataFrame, edges: DataFrame, unit: str = "", most: int = 2000) ->
             style = " style=dotted" if r["residual"] else ""
             out.append(f"N{number[r['parent']]} -> N{number[r['child']]} [label={quote(' ' + spelled(r['weight'], unit))} penwidth={width}{style}]")
     return "\n".join([*out, "}"]) + "\n"
+
+
+def compact(spark: SparkSession, paths: list[str], out: str) -> None:
+    """The rows of several tables, one of each series and time (the smallest profile id), written anew in order."""
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in paths])
+    own = [c for c in rows.columns if c != "day"]
+    first = rows.withColumn("_series", F.array_sort(F.map_entries("labels"))).groupBy("tenant", "service_name", "_series", "time_ms").agg(F.min_by(F.struct(*own), "profile_id").alias("r"))
+    write(first.select([F.col("r").getField(c).alias(c) for c in own]), out)
+
+
+def analyze(spark: SparkSession, path: str, start: int, end: int, selector: str = "{}") -> DataFrame:
+    """What a query of a range would touch: files, their bytes, series, profiles and samples (of a samples column, else profiles)."""
+    from flamequarry.plans.selector import predicate
+
+    rows = read(spark, path, start, end).where(predicate(selector, prune=False)).select(series_key(F.col("labels")).alias("s"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n"), "time_ms")
+    each = rows.groupBy("f", "n").agg(F.count("*").alias("profiles"))
+    series = rows.agg(F.count_distinct("s").alias("series"))
+    return each.agg(F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("profiles"), F.lit(0)).alias("profiles")).crossJoin(F.broadcast(series))  # one row each
+
+
+class Uploads:
+    """Files put aside for a look: put, list, get, diff. Names are kept; a name that is there is not written over."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _place(self, name: str) -> str:
+        if not name or name.startswith((".", "_")) or "/" in name:
+            raise ValueError(f"not a name for an upload: {name!r}")
+        return f"{self.folder}/{name}"
+
+    def put(self, name: str, data: bytes) -> str:
+        from flamequarry.sources import readers
+
+        readers.parsed(readers.sniffed(name, data), name, data)  # refuses what can't be read
+        out = self._fs.create(self._path(self._place(name)), False)
+        out.write(bytearray(data))
+        out.close()
+        return name
+
+    def list(self) -> list[tuple[str, int]]:
+        top = self._path(self.folder)
+        return sorted((f.getPath().getName(), f.getLen()) for f in self._fs.listStatus(top)) if self._fs.exists(top) else []
+
+    def get(self, name: str, sample_type: str | None = None) -> DataFrame:
+        """The tree of an upload."""
+        from flamequarry.operators import tree
+        from flamequarry.sources import readers
+
+        rows = readers.read(self.spark, self._place(name))
+        return tree.build(rows.where(F.col("sample_type") == sample_type) if sample_type else rows)
+
+    def diff(self, left: str, right: str) -> DataFrame:
+        from flamequarry.operators import tree
+
+        return tree.diff(self.get(left), self.get(right))

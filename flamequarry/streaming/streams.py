@@ -70,6 +70,19 @@ def qualified(stream: DataFrame, period: int) -> DataFrame:
     return stream.groupBy("service_name").applyInPandasWithState(run, SEEN, "last long", "append", "NoTimeout")
 
 
+def flushed(stream: DataFrame, path: str, state: str, every: str = "500 milliseconds", once: bool = False):
+    """Appends a stream of profiles to a store, a sorted batch at a time. A batch that is repeated after a failure replaces itself: it has a folder of its own."""
+    from flamequarry.sources import store
+
+    def keep(df: DataFrame, number: int) -> None:
+        folder = f"{path}/batch={number}"
+        df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder), True)
+        store.write(df, folder)
+
+    writer = stream.writeStream.foreachBatch(keep).option("checkpointLocation", state)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
 def run(stream: DataFrame, mode: str = "complete") -> DataFrame:
     """Processes what is there; each batch is a table in the shared folder, so nothing is held by the driver. Returns the last one (complete) or all (append)."""
     spark = stream.sparkSession

@@ -153,3 +153,37 @@ def test_tree_without_paths(spark):
     own, bare = T.build(df), T.build(df, paths=False)
     assert "path" not in bare.columns and sorted((r.id, r.total) for r in own.collect()) == sorted((r.id, r.total) for r in bare.collect())
     assert T.truncate(bare, 1).agg(F.sum("self")).first()[0] == 304
+
+
+def test_compaction_uploads_and_flushes(spark, tmp_path):
+    kind = "tenant string, service_name string, profile_type string, labels map<string,string>, time_ms long, profile_id long, total_value long"
+    rows = [("t0", "s", "p", {"a": str(i % 2)}, i // 4, i, 1) for i in range(12)]
+    for k in (0, 1):
+        store.write(spark.createDataFrame(rows, kind), str(tmp_path / f"in{k}"))
+    store.compact(spark, [str(tmp_path / "in0"), str(tmp_path / "in1")], str(tmp_path / "out"))
+    out = store.read(spark, str(tmp_path / "out"))
+    assert sorted((r.labels["a"], r.time_ms, r.profile_id) for r in out.collect()) == sorted((str(a), t, 4 * t + a) for t in range(3) for a in (0, 1))
+    r = store.analyze(spark, str(tmp_path / "out"), 0, 1, '{a="1"}').first()
+    assert (r.profiles, r.series) == (2, 1) and r.files >= 1 and r.bytes > 0
+    up = store.Uploads(spark, str(tmp_path / "up"))
+    assert up.list() == [] and up.put("a.folded", b"x;y 3\n") == "a.folded" and up.put("b.folded", b"x 1\n")
+    assert [n for n, _ in up.list()] == ["a.folded", "b.folded"] and up.get("a.folded").count() == 2
+    assert {";".join(r.path): (r.left_total, r.right_total) for r in up.diff("a.folded", "b.folded").collect()} == {"x": (3, 1), "x;y": (3, 0)}
+    for name, data in (("../x", b""), ("c.pprof", b"\x0a\x7f"), ("a.folded", b"z 1\n")):
+        with pytest.raises(Exception):
+            up.put(name, data)
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / "stream"))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "stream")).schema).parquet(str(tmp_path / "stream"))
+    streams.flushed(stream, str(tmp_path / "flushed"), str(tmp_path / "state"), once=True).awaitTermination()
+    assert store.read(spark, str(tmp_path / "flushed")).count() == 12
+
+
+def test_pushed_profiles(spark):
+    from flamequarry.operators import profile as W
+    from flamequarry.sources import pprof
+
+    header = {"time_nanos": 5, "duration_nanos": 1, "period": 1, "period_type": {"type": "cpu", "unit": "n"}, "default_type": ""}
+    one = {"locations": [], "values": [3, 4, 9], "labels": {"k": "v"}, "sample_types": [{"type": t, "unit": "u"} for t in ("samples", "delay", "odd")], **header}
+    rows = pprof.pushed(spark.createDataFrame([("id1", {"service_name": "s"}, bytearray(pprof.encode([one])))], "id string, labels map<string,string>, raw binary"))
+    r = W.fixed_time(W.configured_types(rows), 77).first()
+    assert (r.path, r.series_labels, r["values"], [t["type"] for t in r.sample_types], r.time_nanos) == ("id1", {"service_name": "s"}, [3, 4], ["cpu", "mutex_duration"], 77)
