@@ -1,7 +1,7 @@
 """Operators of a training-data pipeline; nothing else in the library imports this subpackage.
 
 Functions of this subpackage that run on executors are shipped by value, so a cluster
-needs pyspark, numpy and pyarrow there but no copy of this repository.
+needs pyspark, numpy, pyarrow and xxhash there but no copy of this repository.
 """
 
 import sys
