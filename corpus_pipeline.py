@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the columns of documents, but
 the last, which returns doc_id and ids. run() writes each result to the shared folder and reads it again.
 
-Nulls, blank texts: rejected by the quality rules (no words). Rows that repeat a doc_id are copies: one stays.
+Nulls, blank texts: rejected by the quality rules (no words). Of rows that repeat a doc_id one stays for each group of
+near-duplicates that they lead.
 A null doc_id is no document that could be grouped; such a row is judged by all other stages.
 """
 
@@ -44,7 +45,7 @@ def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 STAGES = [("quality rules", quality_rules), ("minhash near-dedup", near_dedup), ("decontamination", decontamination), ("secret scan", secret_scan), ("sentencepiece", sentence_pieces)]
-#: SQL cannot encode pieces or run the Markov models; tests/llm/test_pipeline.py works a small fixture out by hand.
+#: SQL cannot encode pieces or run the Markov models; tests/llm/test_pipeline_whole.py takes the same steps in plain Python, over whole tables.
 ORACLE_SQL = None
 
 
