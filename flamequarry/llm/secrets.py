@@ -30,7 +30,7 @@ HEX = r"[0-9a-f]{16,}"  # the matches of [0-9a-f]+ with 16 characters or more
 KINDS = ["assign", "access", "hex", "markov"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET) + 1
-LEAST, THRESHOLD, SMOOTH, SAMPLES = 12, 12.0, 0.5, 4000
+LEAST, THRESHOLD, SMOOTH, SAMPLES = 12, 14.0, 0.5, 4000
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}"
 MARK = "[SECRET]"
 #: Ordinary words of the identifiers' samples.
