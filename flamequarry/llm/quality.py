@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, lower_ascii, materialize, scan, shared_folder, table, word_array
+from .common import SPACE, bloom_split, let, lower_ascii, materialize, scan, shared_folder, table, word_array
 from .minhash import near_duplicates
 
 SYMBOLS = "#*$%&|<>"
@@ -84,9 +84,9 @@ def held(lines: DataFrame, frequent: DataFrame) -> DataFrame:
 def by_family(docs: DataFrame, lines: DataFrame, hosts: DataFrame, limit: int, share: int, folder: str) -> DataFrame:
     """lines of the documents with a line above the limit, with their family's number (where they have shingles) as digest."""
     holders = materialize(held(lines, frequent_lines(lines, hosts, limit, share, True)).drop("always"), folder, "holders")
-    texts = docs.select("_row", "text").join(holders.select("_row").distinct(), "_row", "left_semi").dropDuplicates(["_row"])
-    texts = materialize(texts.select(F.col("_row").alias("doc_id"), "text"), folder, "holders_texts")
-    families = near_duplicates(texts, FAMILY).where("class is not null").select(F.col("doc_id").alias("_row"), "component_id")
+    # a superset of their rows, without a shuffle of texts
+    texts = bloom_split(docs.select("_row", "text"), "_row", holders.select("_row").distinct(), folder, "holders_filter")[0]
+    families = near_duplicates(texts.withColumnRenamed("_row", "doc_id"), FAMILY).where("class is not null").select(F.col("doc_id").alias("_row"), "component_id").distinct()
     return holders.join(families, "_row", "left").withColumn("digest", F.coalesce("component_id", "digest")).drop("component_id")
 
 
