@@ -26,7 +26,9 @@ count and each get a result. Without training documents every token is unknown.
 
 from __future__ import annotations
 
+import hashlib
 import math
+import sys
 import zlib
 from array import array
 from collections import Counter
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import materialize, shared_folder, table
 
 OUTPUTS, WIDTH, NOISE, BATCH, RATE = 1024, 24, 32, 1024, 0.2
-SHARD, FAN, KEPT, DISTINCT = 1 << 22, 16, 1 << 22, 1 << 18
-HEAD_CLASS, GROUP, TOGETHER, TAIL_BATCH, TAIL_RATE, PLACES = 64, 128, 8, 256, 1.0, 1 << 21
+SHARD, FAN, KEPT, DISTINCT = 1 << 22, 16, 1 << 22, 1 << 19
+HEAD_CLASS, GROUP, TOGETHER, TAIL_BATCH, TAIL_RATE, PLACES = 64, 64, 16, 256, 1.0, 1 << 21
 
 
 def held_out(doc_id):
@@ -127,6 +129,15 @@ class Coder:
         return np.array([self.number[w] if w in self.number else zlib.crc32(w) % self.classes for w in words], np.int64)
 
 
+def of_process(kind: str, state: tuple, make):
+    """An object that the tasks of one worker process share while their state is the same: what it remembers is worked out once."""
+    held = sys.__dict__.setdefault("_flamequarry_lm", {})
+    key = hashlib.blake2b(b"".join(x.tobytes() if isinstance(x, np.ndarray) else repr(x).encode() for x in state)).digest()
+    if held.get(kind, (None,))[0] != key:
+        held[kind] = key, make()
+    return held[kind][1]
+
+
 def id_kind(outputs: int) -> str:
     return "<u2" if outputs < 1 << 16 else "<u4"
 
@@ -137,6 +148,10 @@ class Numbers(dict):
     def __init__(self, coder: Coder):
         self.coder, self.words, self.outputs, self.tasks = coder, [], array("q"), array("q")
 
+    def forget(self) -> None:
+        self.clear()
+        self.words, self.outputs, self.tasks = [], array("q"), array("q")
+
     def __missing__(self, word: bytes) -> int:
         out = self.coder.number.get(word)
         n = self[word] = len(self.words)
@@ -345,8 +360,8 @@ def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         from pyspark import TaskContext
 
         plain, end = sent.value
-        v, home, n = Coder(*plain), TaskContext.get().partitionId(), 0
-        numbers = Numbers(v)
+        numbers, home, n = of_process("numbers", plain, lambda: Numbers(Coder(*plain))), TaskContext.get().partitionId(), 0
+        v = numbers.coder
         places = Places(v, numbers, home)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -370,7 +385,7 @@ def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     if places.size:
                         yield from places.packed()
                     if len(numbers.words) > DISTINCT:
-                        numbers = places.numbers = Numbers(v)
+                        numbers.forget()
         if places.size:
             yield from places.packed()
 
@@ -387,7 +402,7 @@ def scored(rows: DataFrame, params: np.ndarray, end: int) -> DataFrame:
 
     def run(batches):
         params, end = sent.value
-        scorer = Scorer(params)
+        scorer = of_process("scorer", (params,), lambda: Scorer(params))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
