@@ -78,11 +78,13 @@ def merged_exemplars(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def merged_series(points: DataFrame, by: list[str], total: bool = True) -> DataFrame:
     """Points of several answers: values of a time added (or all kept), annotations joined, each once, in order. points: by, ts, value, annotations."""
-    notes = F.array_sort(F.array_distinct(F.flatten(F.collect_list("annotations"))))
+    notes = F.array_sort(F.array_distinct(F.flatten(F.collect_set("annotations")))).alias("annotations")  # as many sets as answers differ in
     if total:
-        return points.groupBy(*by, "ts").agg(F.sum("value").alias("value"), notes.alias("annotations"))
-    merged = points.groupBy(*by, "ts").agg(F.array_sort(F.collect_list("value")).alias("v"), notes.alias("annotations"))
-    return merged.select(*by, "ts", F.explode("v").alias("value"), "annotations")
+        return points.groupBy(*by, "ts").agg(F.sum("value").alias("value"), notes)
+    keys = [*by, "ts"]
+    of_time = points.groupBy(*keys).agg(notes)
+    values = points.select(*keys, "value")
+    return values.join(of_time, [values[k].eqNullSafe(of_time[k]) for k in keys]).select(*[values[k] for k in keys], "value", "annotations")
 
 
 def ordered(points: DataFrame, by: list[str]) -> DataFrame:
@@ -122,7 +124,7 @@ def heatmap_exemplars(points: DataFrame, start: int, end: int, step: int, by=(),
 def merged_heatmap(points: DataFrame) -> DataFrame:
     """Points of several answers: values of one series, time, span and profile added, attributes joined. points: labels, time_ms, span_id, profile_id, attributes (map), total_value."""
     keyed = points.withColumn("_l", F.array_sort(F.map_entries("labels")))
-    out = keyed.groupBy("_l", "time_ms", "span_id", "profile_id").agg(F.sum("total_value").alias("total_value"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_entries("attributes"))))).alias("attributes"))
+    out = keyed.groupBy("_l", "time_ms", "span_id", "profile_id").agg(F.sum("total_value").alias("total_value"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_sort(F.map_entries("attributes")))))).alias("attributes"))
     return out.select(F.map_from_entries("_l").alias("labels"), "time_ms", "span_id", "profile_id", "total_value", "attributes")
 
 

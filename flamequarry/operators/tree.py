@@ -138,7 +138,8 @@ def layout(tree: DataFrame, prefixes: tuple[str, ...] = ("",)) -> DataFrame:
     """The tree with level and x: where a node begins, after its parent's own value and its earlier siblings (by name, 'other' last).
 
     All values before a node in preorder are those of nodes that end before it or hold it, so x is the running sum of self in
-    the order of paths. Rows are dealt by top-level nodes: their totals give the begin of each, and the sums run within one.
+    the order of paths. Rows are dealt by top-level nodes: their totals give the begin of each, and the sums run within one,
+    so a tree is truncated first: what lies below one root is one task's.
     """
     key = F.transform("path", lambda f: F.struct((f == OTHER).alias("last"), f.alias("name")))
     t = tree.withColumn("_key", key).withColumn("_top", F.get(key, F.lit(0)))

@@ -187,3 +187,10 @@ def test_pushed_profiles(spark):
     rows = pprof.pushed(spark.createDataFrame([("id1", {"service_name": "s"}, bytearray(pprof.encode([one])))], "id string, labels map<string,string>, raw binary"))
     r = W.fixed_time(W.configured_types(rows), 77).first()
     assert (r.path, r.series_labels, r["values"], [t["type"] for t in r.sample_types], r.time_nanos) == ("id1", {"service_name": "s"}, [3, 4], ["cpu", "mutex_duration"], 77)
+
+
+def test_merged_series_keep_or_add(spark):
+    rows = [("a", 1, 2, ["x"]), ("a", 1, 2, ["y", "x"]), (None, 1, 5, [])]
+    df = spark.createDataFrame(rows, "k string, ts long, value long, annotations array<string>")
+    assert sorted(((r.k, r.value, r.annotations) for r in S.merged_series(df, ["k"]).collect()), key=str) == sorted([("a", 4, ["x", "y"]), (None, 5, [])], key=str)
+    assert sorted(((r.k, r.value, r.annotations) for r in S.merged_series(df, ["k"], total=False).collect()), key=str) == sorted([("a", 2, ["x", "y"])] * 2 + [(None, 5, [])], key=str)
