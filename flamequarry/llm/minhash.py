@@ -36,7 +36,7 @@ SHINGLE = 5
 BANDS, ROWS = 20, 4
 SMALL, BLOCK, SLICE = 32, 512, 4096
 LONG = 2048  # shingles of an average member of a full block
-CACHE = 1 << 19
+CACHE = 1 << 18
 MIX = 0x9E3779B97F4A7C15
 
 

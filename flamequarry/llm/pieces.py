@@ -38,7 +38,7 @@ from .common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-REMEMBERED, FLUSH = 1 << 19, 4096
+REMEMBERED, FLUSH = 3 << 17, 4096
 INFINITE = math.inf
 
 

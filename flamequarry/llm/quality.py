@@ -8,8 +8,10 @@ smallest doc_id, lines go only if more than the limit of different texts hold th
 before the shuffle; the frequent lines meet the documents' lines in a shuffle join, so nothing is broadcast and a hot host or
 line is split by AQE.
 
-``cleaned`` counts families in place of documents: near copies of one another, whatever their number, make no line frequent.
-Only the documents that hold a line above the limit are compared for that.
+``cleaned`` keeps lines that are frequent in near copies of one another only, whatever their number. For each document and
+line, the least hash of the document's other lines is a sample of what stands around the line: near copies mostly have the
+same, unrelated documents have their own. A line goes only if, by one of ``SALTS`` such samples, at least a third of its
+documents differ. This too is SQL functions only, and looks at lines above the limit alone.
 
 Nulls, blank texts: no words, base_failed. A null host is a host of its own. Repeated rows each get their own result.
 ``judged`` replaces columns of docs that are named like its own; ``cleaned`` returns all columns of docs as they were.
@@ -20,13 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, bloom_split, let, lower_ascii, materialize, scan, shared_folder, table, word_array
-from .minhash import near_duplicates
+from .common import SPACE, let, lower_ascii, materialize, scan, shared_folder, table, word_array
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 LINE_LIMIT, LINE_SHARE, DEPLETED = 20, 1, 20
-FAMILY = 80  # percent of shingles that members of a family share
+SALTS, APART = 3, 3  # samples of a document for each line; documents for each different sample, at most
 MIN_WORDS, MAX_REPEAT = 50, 50
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
@@ -68,12 +69,12 @@ def line_table(docs: DataFrame) -> DataFrame:
     return docs.select("_row", F.col("source").alias("host"), F.xxhash64("text").alias("digest"), "doc_id", F.explode(marked).alias("x")).select("_row", "host", "digest", "doc_id", "x.*")
 
 
-def frequent_lines(lines: DataFrame, hosts: DataFrame, limit: int, share: int, families: bool) -> DataFrame:
+def frequent_lines(lines: DataFrame, hosts: DataFrame, limit: int, share: int) -> DataFrame:
     """fhost, fline, always of the lines above the limit; always: whether that holds for different texts (digests) too."""
     counts = lines.groupBy("host", "line", "digest").agg(F.sum("first").alias("documents")).groupBy("host", "line").agg(F.sum("documents").alias("documents"), F.count("*").alias("texts"))
     counts = counts.where(F.col("documents") > limit).join(hosts, F.col("host").eqNullSafe(F.col("h")))
     above = lambda c: (F.col(c) > limit) & (100 * F.col(c) > share * F.col("size"))
-    counts = counts.where(above("texts" if families else "documents"))
+    counts = counts.where(above("documents"))
     return counts.select(F.col("host").alias("fhost"), F.col("line").alias("fline"), above("texts").alias("always"))
 
 
@@ -81,25 +82,32 @@ def held(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return lines.join(frequent, lines.host.eqNullSafe(F.col("fhost")) & (lines.line == F.col("fline"))).drop("fhost", "fline")
 
 
-def by_family(docs: DataFrame, lines: DataFrame, hosts: DataFrame, limit: int, share: int, folder: str) -> DataFrame:
-    """lines of the documents with a line above the limit, with their family's number (where they have shingles) as digest."""
-    holders = materialize(held(lines, frequent_lines(lines, hosts, limit, share, True)).drop("always"), folder, "holders")
-    # a superset of their rows, without a shuffle of texts
-    texts = bloom_split(docs.select("_row", "text"), "_row", holders.select("_row").distinct(), folder, "holders_filter")[0]
-    families = near_duplicates(texts.withColumnRenamed("_row", "doc_id"), FAMILY).where("class is not null").select(F.col("doc_id").alias("_row"), "component_id").distinct()
-    return holders.join(families, "_row", "left").withColumn("digest", F.coalesce("component_id", "digest")).drop("component_id")
+def apart(docs: DataFrame, lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The frequent lines whose documents are no near copies of one another."""
+    held_lines = held(lines, frequent)
+    other = lines.groupBy("_row").agg(*[F.min(F.struct(F.xxhash64("line", F.lit(k)), "line")).alias(f"m{k}") for k in range(SALTS)])
+    # the least of the other lines: where the line is the least itself, the least of those that are not
+    rest = lines.join(other, "_row").groupBy("_row").agg(*[F.min(F.when(F.col("line") != F.col(f"m{k}.line"), F.xxhash64("line", F.lit(k)))).alias(f"n{k}") for k in range(SALTS)])
+    samples = other.join(rest, "_row")
+    sample = lambda k: F.when(F.col("line") == F.col(f"m{k}.line"), F.col(f"n{k}")).otherwise(F.col(f"m{k}.col1"))
+    seen = held_lines.where("first = 1").join(samples, "_row").select("host", "line", F.posexplode(F.array(*[F.coalesce(sample(k), F.lit(0)) for k in range(SALTS)])).alias("salt", "sample"))
+    counts = seen.groupBy("host", "line", "salt", "sample").agg(F.count("*").alias("n")).groupBy("host", "line", "salt").agg(F.sum("n").alias("documents"), F.count("*").alias("kinds"))
+    counts = counts.groupBy("host", "line").agg(F.max(APART * F.col("kinds") >= F.col("documents")).alias("apart")).where("apart")
+    return counts.select(F.col("host").alias("fhost"), F.col("line").alias("fline"), F.lit(True).alias("always"))
 
 
 def judged(docs: DataFrame, limit: int = LINE_LIMIT, depleted: int = DEPLETED, families: bool = False, share: int = LINE_SHARE) -> DataFrame:
-    """docs with the base measures, removed (hashes of its lines above the limit), n_removed_words, kept; families: near copies count once."""
+    """docs with the base measures, removed (hashes of its lines above the limit), n_removed_words, kept; families: lines of near copies stay."""
     folder = shared_folder(docs.sparkSession)
     given = ("doc_id", "text", "source")
     docs = docs.withColumn("_row", F.xxhash64(*given, *[F.col(c).isNull() for c in given]))
     lines = materialize(line_table(docs), folder, "lines")
     hosts = docs.groupBy(F.col("source").alias("h")).agg(F.count("*").alias("size"))
-    counted = by_family(docs, lines, hosts, limit, share, folder) if families else lines
-    gone = held(lines, frequent_lines(counted, hosts, limit, share, families))
-    if not families:
+    frequent = materialize(frequent_lines(lines, hosts, limit, share), folder, "frequent")
+    if families:
+        gone = held(lines, apart(docs, lines, frequent))
+    else:
+        gone = held(lines, frequent)
         copies = docs.groupBy(F.col("source").alias("h"), F.xxhash64("text").alias("d")).agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
         gone = gone.join(copies, gone.host.eqNullSafe(F.col("h")) & (gone.digest == F.col("d")), "left")
         first = F.col("n").isNull() | F.col("doc_id").eqNullSafe(F.col("least"))

@@ -5,6 +5,7 @@ import random
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from flamequarry.llm import decontaminate, pieces, quality, secrets
 
@@ -14,16 +15,21 @@ from test_operators import python_spans
 SF = "/root/testdata/sf0.001"
 
 
-def plain_quality(rows):
-    """Rows (id, text, source) kept, with frequent lines gone; families of near copies count once a host."""
+def plain_quality(rows, samples):
+    """Rows (id, text, source) kept, with frequent lines gone, but for those of near copies. samples: the salted hashes of a line."""
     normal = lambda x: " ".join(x.lower().split())  # noqa: E731  the texts hold no other letters' case that lower() of A-Z would leave
-    family = {i: c for i, (_, c, _) in brute([(i, t) for i, t, _ in rows], quality.FAMILY).items()}
+    lines = {i: {normal(x) for x in (t or "").split("\n")} - {""} for i, t, _ in rows}
     holders, size = {}, {}
-    for i, t, s in rows:
+    for i, _, s in rows:
         size[s] = size.get(s, 0) + 1
-        for x in {normal(x) for x in (t or "").split("\n")} - {""}:
-            holders.setdefault((s, x), set()).add(family[i])
-    frequent = {k for k, v in holders.items() if len(v) > quality.LINE_LIMIT and 100 * len(v) > quality.LINE_SHARE * size[k[0]]}
+        for x in lines[i]:
+            holders.setdefault((s, x), []).append(i)
+    frequent = set()
+    for (s, x), ids in holders.items():
+        if len(ids) > quality.LINE_LIMIT and 100 * len(ids) > quality.LINE_SHARE * size[s]:
+            kinds = [len({min((samples[y][k] for y in lines[i] - {x}), default=0) for i in ids}) for k in range(quality.SALTS)]
+            if quality.APART * max(kinds) >= len(ids):
+                frequent.add((s, x))
     out = []
     for i, t, s in rows:
         words = (t or "").split()
@@ -39,8 +45,8 @@ def plain_quality(rows):
     return out
 
 
-def plain_pipeline(docs, items, llr, encode):
-    rows = plain_quality(docs)
+def plain_pipeline(docs, items, llr, encode, samples):
+    rows = plain_quality(docs, samples)
     leads = brute([(i, t) for i, t, _ in rows], corpus_pipeline.SIMILAR)
     rows = [r for r in rows if leads[r[0]][2]]
     windows = {w for t in items for w in decontaminate.item_windows(t)}
@@ -82,7 +88,10 @@ def test_against_plain_python(spark, tmp_path, planted):
         spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     llr = secrets.train(secrets.labelled_samples(spark))
     own = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
-    expected = plain_pipeline([(i, t, s) for i, t, _, s in docs], [t for _, t in items], llr, own.encode)
+    lines = sorted({" ".join(x.lower().split()) for _, t, _, _ in docs for x in (t or "").split("\n")})
+    salted = spark.createDataFrame([(x,) for x in lines], "x string").select("x", *[F.xxhash64(F.xxhash64("x"), F.lit(k)).alias(f"s{k}") for k in range(quality.SALTS)])
+    samples = {r[0]: r[1:] for r in salted.collect()}
+    expected = plain_pipeline([(i, t, s) for i, t, _, s in docs], [t for _, t in items], llr, own.encode, samples)
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, folder).collect()}
     assert got.keys() == expected.keys() and len(got) > 60
     assert got == expected
